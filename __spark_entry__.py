@@ -304,8 +304,6 @@ def queries() -> dict[str, Query]:
     return {
         "sensor_health": _over(kpis.sensor_health),
         "status_health": _over(kpis.status_health),
-        "sensor_health_rolled_up": _over(lambda df: kpis.sensor_health_from_counts(kpis.health_counts(df))),
-        "status_health_rolled_up": _over(lambda df: kpis.status_health_from_counts(kpis.health_counts(df))),
         "temp_humidity_kpis": _over(_temp_humidity),
         "event_counts": _over(kpis.event_counts),
         "faulty_geo": _over(kpis.faulty_geo),
@@ -449,8 +447,6 @@ def oracle_sql() -> dict[str, str]:
     over_readings = {
         "sensor_health": _SENSOR_HEALTH,
         "status_health": _STATUS_HEALTH,
-        "sensor_health_rolled_up": _SENSOR_HEALTH,
-        "status_health_rolled_up": _STATUS_HEALTH,
         "temp_humidity_kpis": _TEMP_HUMIDITY,
         "event_counts": _EVENT_COUNTS,
         "faulty_geo": _FAULTY_GEO,

@@ -22,33 +22,12 @@ def status_health(readings: DataFrame) -> DataFrame:
 
 def sensor_health(readings: DataFrame) -> DataFrame:
     """Faulty and total readings per sensor, and their ratio (0..1). Readings with a NULL status count in the total."""
-    return _with_ratio(
-        readings.groupBy("sensor_id").agg(
-            F.count_if(is_faulty()).alias("faulty_count"),
-            F.count("*").alias("total_count"),
-        )
-    )
-
-
-def health_counts(readings: DataFrame) -> DataFrame:
-    """Readings per sensor and status: the one scan from which both health figures roll up."""
-    return readings.groupBy("sensor_id", "status").agg(F.count("*").alias("n"))
-
-
-def status_health_from_counts(counts: DataFrame) -> DataFrame:
-    """`status_health` rolled up from `health_counts`; a status seen only without sensor_id keeps its row, at 0."""
-    with_sensor = F.when(F.col("sensor_id").isNotNull(), F.col("n")).otherwise(F.lit(0))
-    return counts.groupBy("status").agg(F.sum(with_sensor).alias("sensor_count"))
-
-
-def sensor_health_from_counts(counts: DataFrame) -> DataFrame:
-    """`sensor_health` rolled up from `health_counts`."""
-    return _with_ratio(
-        counts.groupBy("sensor_id").agg(
-            F.sum(F.when(is_faulty(), F.col("n")).otherwise(F.lit(0))).alias("faulty_count"),
-            F.sum("n").alias("total_count"),
-        )
+    counts = readings.groupBy("sensor_id").agg(
+        F.count_if(is_faulty()).alias("faulty_count"),
+        F.count("*").alias("total_count"),
     )
+    # A group has at least one row, so the divisor is never zero.
+    return counts.withColumn("faulty_pct", F.col("faulty_count") / F.col("total_count"))
 
 
 def event_counts(readings: DataFrame, day: Column | None = None) -> DataFrame:
@@ -84,8 +63,3 @@ def _by_day(readings: DataFrame, day: Column | None, keys: list[str], figures: l
     key, as_text = (day_number("timestamp"), day_text) if day is None else (day, lambda c: F.col(c).cast("string"))
     grouped = readings.groupBy(key.alias("day"), *keys).agg(*figures)
     return grouped.withColumn("day", as_text("day"))
-
-
-def _with_ratio(counts: DataFrame) -> DataFrame:
-    # A group has at least one row, so the divisor is never zero.
-    return counts.withColumn("faulty_pct", F.col("faulty_count") / F.col("total_count"))

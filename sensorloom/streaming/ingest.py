@@ -104,7 +104,7 @@ def _parsed(lines: DataFrame) -> DataFrame:
     # column it would be pushed into the filter and computed for both.
     wrapped = F.concat(F.lit('{"r":['), F.col("value"), F.lit("]}"))
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    filled = lines.where(F.length(F.trim("value", F.lit(" \t\r"))) > 0)
+    filled = lines.where(F.col("value").rlike(r"\S"))
     return filled.select("value", F.inline(F.array(F.from_json(wrapped, _PARSED, options))))
 
 

@@ -1,0 +1,52 @@
+import statistics
+
+import pytest
+
+from sensorloom.operators import profile
+from tests.conftest import SAMPLE, plan, tuples
+
+
+def test_distribution(sample, make):
+    assert tuples(profile.distribution(sample, "event_type", "event_count")) == [("alert", 2), ("sensor_reading", 1)]
+    assert tuples(profile.distribution(sample, "status")) == [("active", 1), ("faulty", 2)]
+    assert profile.distribution(sample, "status").columns == ["status", "count"]
+    assert tuples(profile.distribution(make([{}, {}, {"status": "x"}]), "status")) == [("x", 1), (None, 2)]
+
+
+def test_row_count(sample, make):
+    assert profile.row_count(sample) == 3
+    assert profile.row_count(make([])) == 0
+
+
+def test_describe_numeric(sample):
+    df = profile.describe_numeric(sample)
+    assert df.dtypes == [
+        ("column", "string"),
+        ("n", "bigint"),
+        ("mean", "double"),
+        ("stddev", "double"),
+        ("min", "double"),
+        ("max", "double"),
+    ]
+    for name, *figures in df.collect():
+        values = [float(row[name]) for row in SAMPLE]
+        assert figures == pytest.approx([3, statistics.fmean(values), statistics.stdev(values), min(values), max(values)])
+
+
+def test_describe_numeric_agrees_with_describe(sample):
+    theirs = {row["summary"]: row for row in sample.select(*profile.NUMERIC_COLUMNS).describe().collect()}
+    for row in profile.describe_numeric(sample).collect():
+        for name, label in (("n", "count"), ("mean", "mean"), ("stddev", "stddev"), ("min", "min"), ("max", "max")):
+            assert row[name] == pytest.approx(float(theirs[label][row["column"]]))
+
+
+def test_describe_numeric_without_values(make):
+    assert tuples(profile.describe_numeric(make([]), ["humidity"])) == [("humidity", 0, None, None, None, None)]
+    one = profile.describe_numeric(make([{"humidity": 2.0}, {}]), ["humidity"])
+    assert tuples(one) == [("humidity", 1, 2.0, None, 2.0, 2.0)]
+
+
+def test_describe_numeric_aggregates_before_it_splits(sample):
+    text = plan(profile.describe_numeric(sample))
+    assert text.index("Generate") < text.index("HashAggregate")  # the tree is printed from the top
+    assert "Arguments: SinglePartition" in text

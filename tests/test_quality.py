@@ -1,0 +1,60 @@
+from pyspark.sql import functions as F
+
+from sensorloom.operators import quality
+from sensorloom.schema import REQUIRED_FIELDS
+from tests.conftest import SAMPLE, plan, tuples
+
+RULES = ["sensor_id_positive", "temp_in_range", "humidity_in_range", "valid_status", "timestamp_positive"]
+
+
+def test_all_rules_hold_on_sample(sample):
+    assert [tuple(row) for row in quality.validate(sample).collect()] == [(rule, 3, 3, 100.0, True) for rule in RULES]
+
+
+def test_null_fails_its_rule(make):
+    df = quality.validate(make([{}, SAMPLE[0]]))
+    assert [tuple(row) for row in df.collect()] == [(rule, 1, 2, 50.0, False) for rule in RULES]
+
+
+def test_bounds_are_inclusive_and_positive_is_strict(make):
+    rows = [
+        {"sensor_id": s, "temperature": t, "humidity": h, "status": st, "timestamp": ts}
+        for s, t, h, st, ts in [
+            (0, -50.0, 0.0, "active", 0),
+            (1, 100.0, 100.0, "inactive", 1),
+            (-1, -50.1, -0.1, "ACTIVE", -1),
+            (2, 100.1, 100.1, "broken", 2),
+        ]
+    ]
+    assert [row["valid_count"] for row in quality.validate(make(rows)).collect()] == [2, 2, 2, 2, 2]
+
+
+def test_no_readings(make):
+    assert [tuple(row) for row in quality.validate(make([])).collect()] == [(rule, 0, 0, 0.0, False) for rule in RULES]
+    assert {tuple(row)[1:] for row in quality.completeness(make([])).collect()} == {(0, 0)}
+
+
+def test_own_rules(sample):
+    rules = {"total": F.col("sensor_id") == 42, "rule": F.col("location.latitude") < 0}
+    assert tuples(quality.validate(sample, rules)) == [
+        ("rule", 1, 3, 1 / 3 * 100, False),
+        ("total", 2, 3, 2 / 3 * 100, False),
+    ]
+
+
+def test_completeness(make, sample):
+    assert {tuple(row) for row in quality.completeness(sample).collect()} == {(f, 0, 3) for f in REQUIRED_FIELDS}
+    half = make([SAMPLE[0], {"location": {"latitude": 1.0}, "status": "active"}])
+    missing = {row["field"]: row["missing_count"] for row in quality.completeness(half).collect()}
+    assert missing == {f: int(f not in ("location", "location.latitude", "status")) for f in REQUIRED_FIELDS}
+
+
+def test_one_scan_and_one_row_through_the_exchange(sample, tmp_path):
+    path = str(tmp_path / "readings")
+    sample.write.parquet(path)
+    stored = sample.sparkSession.read.schema(sample.schema).parquet(path)
+    for scorecard in (quality.validate, quality.completeness):
+        text = plan(scorecard(stored))
+        assert text.count("Scan parquet") == 2  # once in the tree, once in the details
+        assert text.count("Arguments: SinglePartition") == 1
+        assert "Union" not in text
