@@ -1,0 +1,193 @@
+import uuid
+from datetime import timedelta
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from sensorloom import schema
+from sensorloom.sinks import ensure_database, ensure_table, list_tables, replace_table, sample_table, write_parquet
+from sensorloom.sinks import tables
+from tests.conftest import tuples
+
+
+@pytest.fixture
+def database(spark, tmp_path):
+    name = f"db_{uuid.uuid4().hex[:8]}"
+    ensure_database(spark, name, str(tmp_path / "warehouse"))
+    yield name
+    spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+@pytest.fixture
+def table(spark, database):
+    name = f"{database}.sensor_health"
+    ensure_table(spark, name, schema.SENSOR_HEALTH)
+    return name
+
+
+@pytest.fixture
+def result(spark):
+    def build(*rows):
+        return spark.createDataFrame(list(rows), schema.SENSOR_HEALTH)
+
+    return build
+
+
+FIRST, SECOND = (1, 1, 2, 0.5), (2, 0, 4, 0.0)
+
+
+def location(spark, table) -> str:
+    return tables._describe(spark, table)["Location"]
+
+
+def versions(spark, table) -> set[str]:
+    root = Path(location(spark, table).removeprefix("file:")).parent
+    return {path.name for path in root.iterdir()}
+
+
+def test_new_table_is_empty_and_has_the_declared_columns(spark, table):
+    df = spark.table(table)
+    assert df.dtypes == [(f.name, f.dataType.simpleString()) for f in schema.SENSOR_HEALTH]
+    assert df.collect() == []
+
+
+def test_ensure_table_leaves_an_existing_table_alone(spark, table, result):
+    replace_table(result(FIRST), table)
+    ensure_table(spark, table, schema.SENSOR_HEALTH)
+    assert tuples(spark.table(table)) == [FIRST]
+
+
+def test_ensure_database_twice(spark, database, tmp_path):
+    ensure_database(spark, database, str(tmp_path / "elsewhere"))
+    assert spark.catalog.getDatabase(database).locationUri.endswith(f"warehouse/{database}.db")
+
+
+def test_replace_twice_does_not_add_up(spark, table, result):
+    for _ in range(2):
+        assert replace_table(result(FIRST, SECOND), table)
+    assert tuples(spark.table(table)) == [FIRST, SECOND]
+    replace_table(result(SECOND), table)
+    assert tuples(spark.table(table)) == [SECOND]
+
+
+def test_replace_matches_columns_by_name_and_casts(spark, table, result):
+    df = result(FIRST).select("faulty_pct", "total_count", F.col("faulty_count").cast("int"), "sensor_id")
+    replace_table(df.withColumn("more", F.lit(1)), table)
+    assert tuples(spark.table(table)) == [FIRST]
+
+
+def test_replace_with_a_column_missing_fails_and_changes_nothing(spark, table, result):
+    replace_table(result(FIRST), table)
+    with pytest.raises(Exception, match="faulty_pct"):
+        replace_table(result(SECOND).drop("faulty_pct"), table)
+    assert tuples(spark.table(table)) == [FIRST]
+
+
+def test_failing_result_leaves_the_old_content(spark, table, result):
+    replace_table(result(FIRST), table)
+    broken = result(SECOND).withColumn("total_count", F.raise_error(F.lit("boom")).cast("bigint"))
+    with pytest.raises(Exception, match="boom"):
+        replace_table(broken, table)
+    assert tuples(spark.table(table)) == [FIRST]
+
+
+def test_empty_result_keeps_the_old_content_unless_allowed(spark, table, result):
+    replace_table(result(FIRST), table)
+    before = versions(spark, table)
+    assert not replace_table(result(), table)
+    assert tuples(spark.table(table)) == [FIRST]
+    assert versions(spark, table) == before
+    assert replace_table(result(), table, allow_empty=True)
+    assert spark.table(table).collect() == []
+
+
+def test_result_is_evaluated_once(spark, table, result):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    replace_table(result(FIRST, SECOND).mapInPandas(count, schema.SENSOR_HEALTH), table)
+    assert seen.value == 2
+
+
+def test_open_frame_keeps_its_version(spark, table, result):
+    replace_table(result(FIRST), table)
+    before = spark.table(table)
+    replace_table(result(SECOND), table)
+    assert tuples(before) == [FIRST]
+    assert tuples(spark.table(table)) == [SECOND]
+
+
+def test_table_can_be_replaced_from_itself(spark, table, result):
+    replace_table(result(FIRST, SECOND), table)
+    replace_table(spark.table(table).where("sensor_id = 2"), table)
+    assert tuples(spark.table(table)) == [SECOND]
+
+
+def test_old_versions_go_by_number_and_age(spark, table, result):
+    for _ in range(4):
+        replace_table(result(FIRST), table)
+    assert len(versions(spark, table)) == 5  # all young, and the empty one
+    replace_table(result(FIRST), table, keep=2, min_age=timedelta(0))
+    left = versions(spark, table)
+    assert len(left) == 2 and Path(location(spark, table)).name in left
+    assert tuples(spark.table(table)) == [FIRST]
+
+
+def test_table_made_by_somebody_else(spark, database, result):
+    name = f"{database}.foreign"
+    result(FIRST).write.saveAsTable(name)
+    assert replace_table(result(SECOND), name)
+    assert replace_table(result(FIRST, SECOND), name)
+    assert tuples(spark.table(name)) == [FIRST, SECOND]
+    assert Path(location(spark, name)).parent.name == "foreign_versions"
+
+
+def test_snapshot_table_is_overwritten_through_the_catalog(spark, result, monkeypatch):
+    calls = []
+
+    class Writer:
+        def __init__(self, table):
+            self.table = table
+
+        def overwritePartitions(self):
+            calls.append(self.table)
+
+    monkeypatch.setattr("pyspark.sql.classic.dataframe.DataFrame.writeTo", lambda self, table: Writer(table))
+    assert tables._replace_snapshot(result(FIRST), "lake.db.t", allow_empty=False)
+    assert not tables._replace_snapshot(result(), "lake.db.t", allow_empty=False)
+    assert tables._replace_snapshot(result(), "lake.db.t", allow_empty=True)
+    assert calls == ["`lake`.`db`.`t`"] * 2
+
+
+def test_list_tables_without_views(spark, database, table, result):
+    ensure_table(spark, f"{database}.status_health", schema.STATUS_HEALTH)
+    result(FIRST).createOrReplaceTempView("a_view")
+    rows = list_tables(spark, database).collect()
+    spark.catalog.dropTempView("a_view")
+    assert {row["tableName"] for row in rows} == {"sensor_health", "status_health"}
+
+
+def test_sample_table(spark, table, result):
+    rows = [(i, 0, 1, 0.0) for i in range(20)]
+    replace_table(result(*rows), table)
+    drawn = tuples(sample_table(spark, table))
+    assert len(drawn) == 5 and set(drawn) <= set(rows)
+    assert sample_table(spark, table, 100).count() == 20
+
+
+def test_write_parquet_overwrites(spark, tmp_path, result):
+    for rows in ([FIRST, SECOND], [FIRST]):
+        path = write_parquet(result(*rows), f"{tmp_path}/out/", "sensor_health")
+        assert path == f"{tmp_path}/out/sensor_health"
+        assert tuples(spark.read.parquet(path)) == rows
+
+
+def test_write_parquet_raises(spark, tmp_path, result):
+    (tmp_path / "out").write_text("not a directory")
+    with pytest.raises(Exception):
+        write_parquet(result(FIRST), str(tmp_path / "out"), "sensor_health")
