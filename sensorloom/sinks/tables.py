@@ -36,9 +36,10 @@ def ensure_table(spark: SparkSession, table: str, schema: StructType, fmt: str =
     columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in schema)
     place = ""
     if fmt == "parquet" and not spark.catalog.tableExists(_quoted(table)):
-        # An empty first version, so that the table never points at the directory holding the versions.
+        # A first version without files, so that the table never points at the directory holding the versions.
         first = f"{_table_root(spark, table)}/{_new_version()}"
-        spark.createDataFrame([], schema).write.parquet(first)
+        path, fs = _hadoop_path(spark, first)
+        fs.mkdirs(path)
         place = f" LOCATION '{_literal(first)}'"
     spark.sql(f"CREATE TABLE IF NOT EXISTS {_quoted(table)} ({columns}) USING {fmt}{place}")
 
@@ -147,8 +148,9 @@ def _table_root(spark: SparkSession, table: str) -> str:
 
 
 def _describe(spark: SparkSession, table: str) -> dict[str, str]:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(table)}").where(F.col("col_name").isin("Provider", "Location"))
-    return {row["col_name"]: row["data_type"] for row in rows.collect()}
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(table)}").collect()
+    # The table's own entries follow its columns, one of which might bear such a name.
+    return {row["col_name"]: row["data_type"] for row in rows if row["col_name"] in ("Provider", "Location")}
 
 
 def _hadoop_path(spark: SparkSession, path: str):

@@ -142,8 +142,7 @@ ROUTES = {
 def test_every_filled_line_takes_exactly_one_route(spark):
     lines = spark.createDataFrame([(line,) for line in [*ROUTES, "", "  ", "\t"]], "value string")
     assert tuples(errors_of(lines)) == sorted([(line,) for line, good in ROUTES.items() if not good], key=repr)
-    for line, good in ROUTES.items():
-        assert readings_of(lines.where(F.col("value") == line)).count() == int(good), line
+    assert readings_of(lines).count() == sum(ROUTES.values())
 
 
 def test_many_lines_against_a_parser_of_its_own(spark):
