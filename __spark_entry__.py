@@ -27,7 +27,6 @@ from sensorloom.plans import (  # noqa: E402
     run_temp_humidity,
 )
 from sensorloom.sinks import (  # noqa: E402
-    ensure_database,
     ensure_table,
     list_tables,
     replace_table,
@@ -116,13 +115,18 @@ def _json_text(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct("*")).alias("value"))
 
 
-# Readings per array document. A bound on the group, so no document grows with the data.
-ARRAY_LENGTH = 5_000
+# Readings per array: a bound on every group and line, so none grows with the data. A pretty-printed array is a file of its
+# own, about as big as a delivery buffer, so that files do not outnumber what a file system takes.
+READINGS_PER_LINE = 5_000
+READINGS_PER_FILE = 200_000
 
 
-def _arrays(df: DataFrame, pretty: bool = False) -> DataFrame:
-    chunk = F.floor(F.col("uuid").cast("bigint") / ARRAY_LENGTH).alias("chunk")
-    documents = df.groupBy(chunk).agg(F.collect_list(F.struct(*schema.READING.names)).alias("readings"))
+def _arrays(df: DataFrame, length: int, pretty: bool = False) -> DataFrame:
+    # Consecutive rows of a scan task, whatever their keys: a chunk can be shorter than `length`, never longer.
+    chunk = F.floor(F.monotonically_increasing_id() / length)
+    documents = df.withColumn("chunk", chunk).groupBy("chunk").agg(
+        F.collect_list(F.struct(*schema.READING.names)).alias("readings")
+    )
     return documents.select("chunk", F.to_json("readings", {"pretty": str(pretty).lower()}).alias("value"))
 
 
@@ -134,14 +138,14 @@ def _json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _json_array_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_directory(spark)
-    _arrays(readings(spark, sf_dir)).select("value").write.text(path)
+    _arrays(readings(spark, sf_dir), READINGS_PER_LINE).select("value").write.text(path)
     return _flat(read_json(spark, path))
 
 
 def _json_pretty_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_directory(spark)
     # One document per file.
-    _arrays(readings(spark, sf_dir), pretty=True).write.partitionBy("chunk").text(path)
+    _arrays(readings(spark, sf_dir), READINGS_PER_FILE, pretty=True).write.partitionBy("chunk").text(path)
     return _flat(read_json(spark, path, multiline=True))
 
 
@@ -220,16 +224,16 @@ def _list_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sample_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Which rows a sample holds is open: counted are the rows drawn, and those of them that the table has."""
-    database = fresh_database(spark)
-    ensure_database(spark, database)
-    table = f"{database}.sensor_health"
+    """Which rows a sample holds is open; counted are the table's rows that it holds."""
+    table = f"{fresh_database(spark)}.sensor_health"
     ensure_table(spark, table, schema.SENSOR_HEALTH)
     replace_table(kpis.sensor_health(readings(spark, sf_dir)), table)
-    sample = sample_table(spark, table).withColumnRenamed("total_count", "sampled_total")
-    drawn = sample.join(spark.table(table).select("sensor_id", "total_count"), "sensor_id", "left")
-    found = F.count_if(F.col("sampled_total") == F.col("total_count"))
-    return drawn.agg(F.count("*").alias("drawn"), found.alias("found"))
+    # Five rows, so broadcast.
+    sample, whole = F.broadcast(sample_table(spark, table)).alias("s"), spark.table(table).alias("t")
+    same = F.lit(True)
+    for column in schema.SENSOR_HEALTH.names:
+        same &= F.col(f"s.{column}").eqNullSafe(F.col(f"t.{column}"))
+    return whole.join(sample, same, "left_semi").agg(F.count("*").alias("sampled"))
 
 
 # ---------------------------------------------------------------------------------------------------------------------
@@ -468,8 +472,7 @@ def oracle_sql() -> dict[str, str]:
         "replace_table_empty": _STATUS_HEALTH,
         "parquet_sink": _EVENT_COUNTS,
         "list_tables": _table_sizes(),
-        "sample_table": "SELECT least(5, count(DISTINCT sensor_id)) AS drawn, "
-        "least(5, count(DISTINCT sensor_id)) AS found FROM r",
+        "sample_table": "SELECT least(5, count(DISTINCT sensor_id)) AS sampled FROM r",
         "bronze_ingest": f"{flat_with_day} WHERE status = 'active'",
         "bronze_errors": "SELECT uuid, status FROM r WHERE status <> 'active'",
         "job_sensor_health": _SENSOR_HEALTH,

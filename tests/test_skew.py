@@ -1,0 +1,76 @@
+"""One sensor, place, day, status and event with a third of all readings and more: what reaches the shuffle, and is it right."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from sensorloom.operators import kpis, profile
+from sensorloom.schema import READING
+from tests.conftest import tuples
+
+ROWS, TASKS, SENSORS = 300_000, 8, 50
+
+
+@pytest.fixture(scope="module")
+def hot(spark, tmp_path_factory):
+    sensor = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % SENSORS)
+    columns = {
+        "sensor_id": sensor,
+        "temperature": (F.col("id") % 100).cast("double"),
+        "humidity": F.lit(50.0),
+        "location": F.struct((sensor % 5).cast("double").alias("latitude"), F.lit(1.0).alias("longitude")),
+        "status": F.when(F.col("id") % 2 == 0, "faulty").otherwise("active"),
+        "event_type": F.lit("alert"),
+        "timestamp": 1_704_067_200 + sensor * 3_600,
+        "uuid": F.col("id").cast("string"),
+    }
+    path = str(tmp_path_factory.mktemp("hot") / "readings")
+    rows = spark.range(0, ROWS, 1, TASKS)
+    rows.select(*(columns[f.name].cast(f.dataType).alias(f.name) for f in READING)).write.parquet(path)
+    return spark.read.schema(READING).parquet(path)
+
+
+def shuffled(df) -> int:
+    """Rows written to the shuffle by the query of `df`, after running it."""
+    df.collect()
+    found = []
+
+    def walk(node):
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            walk(node.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            walk(node.plan())
+        elif name == "ShuffleExchangeExec":
+            found.append(node.metrics().apply("shuffleRecordsWritten").value())
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    assert len(found) == 1
+    return found[0]
+
+
+@pytest.mark.parametrize(
+    "operator, groups",
+    [
+        (kpis.sensor_health, SENSORS),
+        (kpis.status_health, 2),
+        (kpis.event_counts, 3),
+        (kpis.faulty_geo, 5),
+        (kpis.temp_humidity, 15),
+        (lambda df: profile.distribution(df, "event_type"), 1),
+    ],
+)
+def test_a_group_is_shuffled_as_one_row_per_task(hot, operator, groups):
+    df = operator(hot)
+    assert 0 < shuffled(df) <= groups * TASKS
+
+
+def test_hot_groups_are_whole(hot):
+    assert sum(row["total_count"] for row in kpis.sensor_health(hot).collect()) == ROWS
+    hottest = kpis.sensor_health(hot).where("sensor_id = 0")
+    expected = sum(1 for i in range(ROWS) if i % 3 == 0 or i % SENSORS == 0)
+    faults = sum(1 for i in range(0, ROWS, 2) if i % 3 == 0 or i % SENSORS == 0)
+    assert tuples(hottest) == [(0, faults, expected, faults / expected)]
+    assert tuples(kpis.status_health(hot)) == [("active", ROWS // 2), ("faulty", ROWS // 2)]
