@@ -104,6 +104,40 @@ def test_a_late_file_older_than_the_rest_is_not_skipped(spark, place):
     assert [row[0] for row in stored(spark, bronze)] == [1, 2]
 
 
+def test_a_batch_whose_commit_was_lost_is_not_doubled(spark, place):
+    """One file per batch; the driver is gone after the last sink write and before the checkpoint's commit."""
+    source, bronze, checkpoint = place
+    for i in range(4):
+        put(source, f"f{i}", [json.dumps(reading(i, 1704267600)), f"bad {i}"])
+
+    def deliver():
+        for start in (ingest_bronze, ingest_errors):
+            lines = read_lines(spark, source, max_bytes_per_trigger=1)
+            start(spark, lines, bronze, checkpoint, ONCE).awaitTermination()
+
+    deliver()
+    for route in ("raw", "errors"):
+        commits = sorted(Path(checkpoint, route, "commits").glob("[0-9]*"), key=lambda path: int(path.name))
+        assert len(commits) == 4
+        commits[-1].unlink()
+        commits[-1].with_name(f".{commits[-1].name}.crc").unlink()
+    put(source, "f4", [json.dumps(reading(4, 1704267600)), "bad 4"])
+    deliver()
+    assert [row[0] for row in stored(spark, bronze)] == [0, 1, 2, 3, 4]
+    assert rejected(spark, bronze) == [(f"bad {i}",) for i in range(5)]
+
+
+def test_files_of_a_failed_batch_are_not_read(spark, place):
+    source, bronze, checkpoint = place
+    put(source, "a", LINES)
+    run(spark, source, bronze, checkpoint)
+    before = stored(spark, bronze)
+    written = next(Path(bronze).glob("raw/day=2024-01-04/*.parquet"))
+    (written.parent / "part-left-over.snappy.parquet").write_bytes(written.read_bytes())
+    assert stored(spark, bronze) == before
+    assert read_bronze(spark, bronze).count() == len(before)
+
+
 def test_any_stream_of_values_is_a_source(spark, place):
     source, bronze, checkpoint = place
     put(source, "a", LINES)
