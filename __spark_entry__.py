@@ -13,7 +13,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from pyspark.sql import Column, DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import Column, DataFrame, SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from sensorloom import schema  # noqa: E402
@@ -115,19 +115,27 @@ def _json_text(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct("*")).alias("value"))
 
 
-# Readings per array: a bound on every group and line, so none grows with the data. A pretty-printed array is a file of its
-# own, about as big as a delivery buffer, so that files do not outnumber what a file system takes.
+# Readings per array: bounds that no chunk exceeds, whatever its keys, as chunks are runs of consecutive rows of a scan
+# task. A pretty-printed array is a file of its own, and files should not outnumber what a file system takes.
 READINGS_PER_LINE = 5_000
 READINGS_PER_FILE = 200_000
 
 
-def _arrays(df: DataFrame, length: int, pretty: bool = False) -> DataFrame:
-    # Consecutive rows of a scan task, whatever their keys: a chunk can be shorter than `length`, never longer.
-    chunk = F.floor(F.monotonically_increasing_id() / length)
-    documents = df.withColumn("chunk", chunk).groupBy("chunk").agg(
-        F.collect_list(F.struct(*schema.READING.names)).alias("readings")
-    )
-    return documents.select("chunk", F.to_json("readings", {"pretty": str(pretty).lower()}).alias("value"))
+def _line_arrays(df: DataFrame) -> DataFrame:
+    chunk = F.floor(F.monotonically_increasing_id() / READINGS_PER_LINE).alias("chunk")
+    arrays = df.groupBy(chunk).agg(F.collect_list(F.struct(*schema.READING.names)).alias("readings"))
+    return arrays.select(F.to_json("readings").alias("value"))
+
+
+def _file_arrays(df: DataFrame) -> DataFrame:
+    """Rows that, written in order to one file per chunk, make a pretty-printed array; none is held in memory whole."""
+    element = F.to_json(F.struct(*schema.READING.names), {"pretty": "true"}).alias("element")
+    rows = df.select(element, F.monotonically_increasing_id().alias("position"))
+    order = Window.partitionBy("chunk").orderBy("position")
+    before = F.when(F.lag("position").over(order).isNull(), "[").otherwise(",")
+    after = F.when(F.lead("position").over(order).isNull(), "]").otherwise("")
+    chunked = rows.withColumn("chunk", F.floor(F.col("position") / READINGS_PER_FILE))
+    return chunked.select("chunk", F.concat(before, "element", after).alias("value"))
 
 
 def _json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,14 +146,13 @@ def _json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _json_array_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_directory(spark)
-    _arrays(readings(spark, sf_dir), READINGS_PER_LINE).select("value").write.text(path)
+    _line_arrays(readings(spark, sf_dir)).write.text(path)
     return _flat(read_json(spark, path))
 
 
 def _json_pretty_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_directory(spark)
-    # One document per file.
-    _arrays(readings(spark, sf_dir), READINGS_PER_FILE, pretty=True).write.partitionBy("chunk").text(path)
+    _file_arrays(readings(spark, sf_dir)).write.partitionBy("chunk").text(path)
     return _flat(read_json(spark, path, multiline=True))
 
 
@@ -241,8 +248,8 @@ def _sample_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lines_to_ingest(spark: SparkSession, sf_dir: str) -> str:
-    """The readings as JSON lines: those of faulty sensors with a text where a number belongs, those of inactive ones cut
-    short, those of `view` events followed by a blank line."""
+    """The readings as JSON lines: those of faulty sensors with a text where a number belongs, those of inactive ones
+    cut short, those of `view` events followed by a blank line."""
     source = fresh_directory(spark)
     line = F.to_json(F.struct("*"))
     mistyped = F.to_json(F.struct(F.lit("n/a").alias("temperature"), "status", "uuid"))

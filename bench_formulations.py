@@ -46,7 +46,8 @@ def plain_validate(df: DataFrame) -> None:
 
 
 def plain_describe(df: DataFrame) -> None:
-    pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in profile.NUMERIC_COLUMNS])
+    values = [(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in profile.NUMERIC_COLUMNS]
+    pairs = F.array(*[F.struct(*value) for value in values])
     figures = [f("v") for f in (F.count, F.avg, F.stddev_samp, F.min, F.max)]
     discard(df.select(F.inline(pairs)).groupBy("c").agg(*figures))
 

@@ -40,7 +40,7 @@ def event_counts(readings: DataFrame, day: Column | None = None) -> DataFrame:
 
 
 def faulty_geo(readings: DataFrame) -> DataFrame:
-    """Faulty readings per exact location. Counts readings, not distinct sensors, and skips those without a sensor_id."""
+    """Faulty readings per exact location; counts readings, not distinct sensors, and skips those without sensor_id."""
     return (
         faulty(readings)
         .groupBy("location.latitude", "location.longitude")

@@ -54,8 +54,8 @@ class JobConfig:
 def run_sensor_health(spark: SparkSession, config: JobConfig) -> None:
     """Replaces `<table>` (per sensor) and `status_health` (per status).
 
-    Two scans of the same two columns. Counting per sensor and status once, keeping that and rolling both figures up from
-    it was measured and is slower: the counts hardly shrink the input, the second scan of two narrow columns is cheap.
+    Two scans of the same two columns. Counting per sensor and status once, keeping that and rolling both figures up
+    from it was measured and is slower: the counts hardly shrink the input, and a second scan of two columns is cheap.
     """
     readings = _readings(spark, config)
     _publish(spark, config, config.table, schema.SENSOR_HEALTH, sensor_health(readings))

@@ -5,7 +5,8 @@ Two kinds of table are served:
 * snapshot formats (Iceberg): `writeTo(...).overwritePartitions()`, which commits atomically;
 * Parquet tables: every run writes a fresh version directory beside the earlier ones and then repoints the table with
   one catalog call. Readers see the old content or the new, never a mixture; a failed run leaves the table alone; and a
-  frame opened before the swap keeps reading its version as long as that is kept.
+  frame opened before the swap keeps reading its version as long as that is kept. Of two runs at once, the one that
+  swaps last wins, with its whole result.
 """
 
 import logging

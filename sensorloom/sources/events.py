@@ -2,8 +2,8 @@
 
 from pyspark.sql import DataFrame
 
-# The mapping of location and status is made up: it only has to give every row a place and a state. `ts` has no time zone,
-# and neither has the constant it is compared with, so the session's zone plays no part.
+# The mapping of location and status is made up: it only has to give every row a place and a state. `ts` has no time
+# zone, and neither has the constant it is compared with, so the session's zone plays no part.
 _COLUMNS = (
     "user_id AS sensor_id",
     "value AS temperature",

@@ -4,8 +4,8 @@ The two routes are two queries, each with its own checkpoint. A file sink delive
 `foreachBatch` writing to both places would not. The price is that every line is parsed by both.
 
 Delivery is by time or size, whichever comes first. The time is the trigger. The size is that of a read task: run the
-queries in a session made by `build_session(..., conf=INGEST_CONF)`, and every task, hence every file it writes, holds at
-most 64 MB of input, however much an interval brings. Capping the *interval* at 64 MB instead would throttle the
+queries in a session made by `build_session(..., conf=INGEST_CONF)`, and every task, hence every file it writes, holds
+at most 64 MB of input, however much an interval brings. Capping the *interval* at 64 MB instead would throttle the
 whole ingest to 64 MB a minute.
 """
 

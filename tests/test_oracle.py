@@ -33,6 +33,17 @@ def test_query_equals_oracle(spark, duck, name):
     assert rows and rows == sorted(wanted.fetchall(), key=repr)
 
 
+@pytest.mark.parametrize("length", [1, 999])
+@pytest.mark.parametrize("name", ["json_array_scan", "json_pretty_scan"])
+def test_arrays_of_any_length_are_read_whole(spark, monkeypatch, name, length):
+    monkeypatch.setattr(driver, "READINGS_PER_LINE", length)
+    monkeypatch.setattr(driver, "READINGS_PER_FILE", max(length, 100))
+    sf_dir = str(TESTDATA / "sf0.001")
+    flat = driver.readings(spark, sf_dir).select("*", "location.latitude", "location.longitude").drop("location")
+    df = driver.queries()[name](spark, sf_dir)
+    assert tuples(df) == tuples(flat.select(df.columns))
+
+
 def test_entry(spark):
     df = driver.entry(spark)
     assert df.columns == ["sensor_id", "faulty_count", "total_count", "faulty_pct"]

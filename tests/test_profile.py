@@ -30,7 +30,8 @@ def test_describe_numeric(sample):
     ]
     for name, *figures in df.collect():
         values = [float(row[name]) for row in SAMPLE]
-        assert figures == pytest.approx([3, statistics.fmean(values), statistics.stdev(values), min(values), max(values)])
+        mean, deviation = statistics.fmean(values), statistics.stdev(values)
+        assert figures == pytest.approx([3, mean, deviation, min(values), max(values)])
 
 
 def test_describe_numeric_agrees_with_describe(sample):

@@ -1,4 +1,4 @@
-"""One sensor, place, day, status and event with a third of all readings and more: what reaches the shuffle, and is it right."""
+"""One sensor, place, day, status and event with a third of all readings or more: what is shuffled, and is it right."""
 
 import pytest
 from pyspark.sql import functions as F
