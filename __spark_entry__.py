@@ -61,8 +61,12 @@ def _over(operator: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def _rounded(*columns: str) -> Callable[[DataFrame], DataFrame]:
-    """Averages depend on the order of summation, so they are compared to six places."""
-    return lambda df: df.withColumns({c: F.round(c, 6) for c in columns})
+    """Averages depend on the order of summation, so they are compared to six places.
+
+    Scaled first and rounded to a whole number then, as the SQL side does it: `F.round(c, 6)` goes by a double's decimal
+    text, and the two part where the exact average lies half-way (39.1759375).
+    """
+    return lambda df: df.withColumns({c: F.round(F.col(c) * 1e6) / 1e6 for c in columns})
 
 
 def _temp_humidity(df: DataFrame, day: Column | None = None) -> DataFrame:
