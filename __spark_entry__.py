@@ -38,6 +38,11 @@ from sensorloom.sources.bronze import errors_path  # noqa: E402
 from sensorloom.streaming import ingest_bronze, ingest_errors  # noqa: E402
 from sensorloom.workspace import fresh_database, fresh_directory  # noqa: E402
 
+try:
+    from sensorloom.llm import entry as llm  # noqa: E402
+except ImportError:
+    llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -316,6 +321,10 @@ def _run_all_on_ingested(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    return _own_queries() | (llm.queries() if llm else {})
+
+
+def _own_queries() -> dict[str, Query]:
     return {
         "sensor_health": _over(kpis.sensor_health),
         "status_health": _over(kpis.status_health),
@@ -494,4 +503,5 @@ def oracle_sql() -> dict[str, str]:
         "run_all_on_ingested": _TEMP_HUMIDITY,
     }
     scorecards = {"validate": _scorecard(_VALIDATE), "value_domains": _scorecard(_VALUE_DOMAINS)}
-    return {name: f"{_READINGS}{sql}" for name, sql in over_readings.items()} | scorecards
+    own = {name: f"{_READINGS}{sql}" for name, sql in over_readings.items()} | scorecards
+    return own | (llm.oracle_sql() if llm else {})
