@@ -5,11 +5,14 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sensorloom.llm import exact_dedup, secrets
+from sensorloom.llm import bpe, exact_dedup, packing, quality, secrets, token_store
 from sensorloom.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Where the vocabulary files lie.
+_TOKENIZERS = "/opt/tokenizers"
+
 _ROOT = str(Path(__file__).resolve().parents[2])
 
 
@@ -17,10 +20,35 @@ def _op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.secret_spans(table(spark, sf_dir, "documents")))
 
 
+def _tokenizer(name: str) -> str:
+    try:
+        import public_tokenizers
+    except ImportError:
+        return f"{_TOKENIZERS}/{name}"
+    return str(public_tokenizers.path(name))
+
+
+def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
+
+
 def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
+
+
+def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.judged(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.written_and_read(table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
+
+
 def _reachable(query: Query) -> Query:
     """Python workers import the package from where the driver did; on a cluster, `--py-files` puts it there."""
 
@@ -34,7 +62,11 @@ def _reachable(query: Query) -> Query:
 def queries() -> dict[str, Query]:
     found = {
         "op1_secrets": _op1,
+        "op2_packing": _op2,
         "op4_exact_dedup": _op4,
+        "op8_bpe": _op8,
+        "op9_quality": _op9,
+        "op10_token_store": _op10,
     }
     return {name: _reachable(query) for name, query in found.items()}
 

@@ -1,8 +1,9 @@
 """Exact dedup by content sort.
 
-Rows are range-partitioned by their normalised text, with splitters that Spark samples; each partition is sorted
-externally, which places equal texts next to each other; a window then walks the sorted rows, compares each text in full
-with its neighbour's, and every run of equal texts keeps its smallest identifier.
+Rows are range-partitioned by the head of their normalised text, with splitters that Spark samples; each partition is
+sorted externally by the whole text, which places equal texts next to each other; a window then walks the sorted rows,
+compares each text in full with its neighbour's, and every run of equal texts keeps its smallest identifier. Texts that
+begin alike are told apart by a hash before they are compared further, so splitters stay short, however long texts are.
 
 A text that very many rows share would be one run in one task. Such texts are counted first, by hash, and their rows get
 a salt, so that they form several runs; the few rows that head these runs are merged afterwards. Texts count as hot from
@@ -17,6 +18,8 @@ from sensorloom.llm.frames import stored, text_of
 
 HOT_SHARE = 1_000
 MIN_HOT = 500
+# Characters of a text that splitters hold.
+HEAD = 32
 
 # A run of white space that is not a single space already: what is left alone is most of a text.
 _RUN = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
@@ -64,12 +67,13 @@ def _runs(rows: DataFrame) -> DataFrame:
         pairs = F.create_map(*(F.lit(x).cast("bigint") for pair in salts.items() for x in pair))
         salt = F.pmod(F.xxhash64("_id"), F.coalesce(F.element_at(pairs, hash_of), F.lit(1).cast("bigint")))
         rows = rows.withColumn("_salt", salt)
-    keys = ["_norm", "_salt"] if salts else ["_norm"]
+    rows = rows.withColumns({"_head": F.left("_norm", F.lit(HEAD)), "_hash": hash_of})
+    keys = ["_head", "_hash", *(["_salt"] if salts else [])]
     dealt = rows.repartitionByRange(*keys)
-    run = Window.partitionBy(*keys)
+    run = Window.partitionBy(*keys, "_norm")
     ordered = run.orderBy(F.col("_id").asc_nulls_last())
     runs = dealt.select(
-        *(c for c in dealt.columns if c != "_norm"),
+        *(c for c in dealt.columns if c not in ("_norm", "_head", "_hash")),
         F.first("_id").over(ordered).alias("_keep"),
         F.count("*").over(run).alias("_size"),
         (F.row_number().over(ordered) == 1).alias("_kept"),

@@ -1,0 +1,91 @@
+import random
+import re
+
+import numpy as np
+import pytest
+
+from sensorloom.llm import quality
+from tests.conftest import TESTDATA, tuples
+
+SPACE = " \t\n\x0b\x0c\r"
+
+
+def brute(text):
+    text = text or ""
+    words = re.findall(f"[^{SPACE}]+", text)
+    lines = [line for line in text.split("\n") if line.strip(SPACE)]
+    windows = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
+    repeated = {i + k for i, w in enumerate(windows) if windows.count(w) > 1 for k in range(8)}
+    symbols = len(re.findall(r"[#*$%&|<>]", text))
+    dup = sum(line in lines[:i] for i, line in enumerate(lines))
+    failed = len(words) < 20 or 100 * len(repeated) > 30 * len(words)
+    return len(words), sum(map(len, words)), symbols, dup, len(repeated), failed
+
+
+def test_counts_against_brute_force(spark):
+    rng = random.Random(2)
+    texts = [None, "", " \n ", "a" * 10_000, "w " * 500, "é\xa0x　y\x1cz\x85 a"]
+    for _ in range(300):
+        vocabulary = [rng.choice(["a", "É", "%%", "x|", "😀"]) + str(rng.randrange(3)) for _ in range(rng.choice([2, 6, 30]))]
+        texts.append("".join(rng.choice(vocabulary) + rng.choice([" ", " ", "\n", "\t", "  \n"]) for _ in range(rng.randrange(60))))
+    rows = [(i, t, "x", 1.0) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, kept string, score double")
+    got = {row["doc_id"]: tuple(row)[1:7] for row in quality.judged(df, None).collect()}
+    for i, text in enumerate(texts):
+        assert got[i] == brute(text), repr(text)
+    assert all(row["kept"] != row["base_failed"] for row in quality.judged(df, None).collect())
+    kept = quality.keep_good(df, None)
+    assert kept.columns == df.columns
+    assert sorted(row[0] for row in kept.collect()) == [i for i in got if not got[i][5]]
+
+
+def test_held_out_labels(spark):
+    """Fitted on the even half of the labels, held against the odd half, over two sizes of table."""
+    docs = spark.read.parquet(str(TESTDATA / "sf0.1" / "documents.parquet"))
+    labels = spark.read.parquet(str(TESTDATA / "sf0.1" / "labels.parquet"))
+    forest = quality.fit(docs, labels.where("doc_id % 2 = 0"))
+    judged = quality.judged(docs, forest).join(labels.where("doc_id % 2 = 1"), "doc_id")
+    rows = judged.where("not base_failed").select("quality", "kept").collect()
+    good = [row["kept"] for row in rows if row["quality"] == 1]
+    bad = [row["kept"] for row in rows if row["quality"] == 0]
+    assert np.mean(good) > 0.99 and np.mean(bad) < 0.2
+
+
+def test_no_labels_no_good_ones_and_labels_with_nulls(spark):
+    docs = spark.createDataFrame([(i, f"w{i} " * 30) for i in range(30)], "doc_id bigint, text string")
+    label = lambda rows: spark.createDataFrame(rows, "doc_id bigint, quality int")
+    assert quality.fit(docs, label([])) is None
+    assert quality.fit(docs, label([(1, None), (None, 1), (99, 1)])) is None
+    words = [(i, " ".join(f"w{i * j % 97}" for j in range(40))) for i in range(1, 30)]
+    docs = spark.createDataFrame(words, "doc_id bigint, text string")
+    for good in (0, 1):
+        forest = quality.fit(docs, label([(i, good) for i in range(30)]))
+        assert forest.threshold == np.inf
+        assert all(row["kept"] for row in quality.judged(docs, forest).collect())
+
+
+def test_isolation_of_outliers():
+    rng = np.random.default_rng(1)
+    shares = np.concatenate([rng.normal(0, 1, (2_000, 3)), [[9, 9, 9], [-8, 9, -9]]])
+    scores = quality.grow_forest(shares).scores(shares)
+    assert set(np.argsort(scores)[-2:]) == {2_000, 2_001}
+    assert 0 < scores.min() and scores.max() < 1
+    same = quality.grow_forest(np.ones((5, 3)))
+    assert len(set(same.scores(np.ones((4, 3))))) == 1
+
+
+@pytest.mark.parametrize("share", [0.0, 0.1, 1.0])
+def test_threshold_rejects_no_more_good_rows_than_allowed(share):
+    rng = np.random.default_rng(2)
+    shares = rng.normal(0, 1, (500, 2))
+    bad = np.arange(500) % 5 == 0
+    forest = quality.calibrated(quality.grow_forest(shares), shares, bad, min(share, 0.999))
+    assert np.mean(forest.scores(shares[~bad]) > forest.threshold) <= share
+
+
+def test_null_identifiers_repeated_rows_and_empty_table(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    df = spark.createDataFrame([(None, text), (1, text), (1, text)], "doc_id bigint, text string")
+    assert [row[:2] for row in tuples(quality.judged(df, None))] == [(1, 30), (1, 30), (None, 30)]
+    assert quality.judged(df.where("doc_id > 5"), None).collect() == []
+    assert quality.keep_good(df.where("doc_id > 5"), None).collect() == []

@@ -1,0 +1,175 @@
+"""Encoding, packing, BPE and the token store against the tokenizers library."""
+
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from sensorloom.llm import bpe, packing, token_store
+from sensorloom.llm.encoding import Encoder, Memory
+from tests.conftest import tuples
+
+SCHEMA = "doc_id bigint, text string, start string, bits int"
+
+
+def library(path, text, **options):
+    return Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+
+
+@pytest.fixture(scope="module")
+def docs(spark, texts):
+    rows = [(i, t, "x", 1) for i, t in enumerate(texts)] + [(9_000, None, "x", 1), (9_001, "a b", "x", 1), (9_001, "a b", "x", 1)]
+    random.Random(1).shuffle(rows)
+    return spark.createDataFrame(rows, SCHEMA).repartition(5), rows
+
+
+def crc(ids):
+    return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+def test_encoder_gives_the_librarys_ids(texts, byte_bpe, low_bpe):
+    for path in (byte_bpe, low_bpe):
+        whole = Tokenizer.from_file(path)
+        for text, ids in zip(texts, Encoder(path).encode(texts)):
+            assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_memory_forgets_and_makes_again():
+    made = []
+    memory = Memory(lambda key: made.append(key) or key * 2, 3)
+    for _ in range(2):
+        assert [memory[k] for k in range(8)] == [2 * k for k in range(8)]
+    assert len(memory) <= 3 and len(made) > 8
+
+
+def test_bpe_and_its_decoding(texts, low_bpe, spark):
+    whole = Tokenizer.from_file(low_bpe)
+    own = bpe.word_bpe(low_bpe)
+    for text in texts:
+        wanted = whole.encode(text, add_special_tokens=False).ids
+        ids = own.encode(text)
+        assert ids.tolist() == wanted, repr(text)
+        assert own.decode(ids).decode() == whole.decode(wanted, skip_special_tokens=False)
+    with pytest.raises(ValueError, match="no token"):
+        own.decode(np.array([60_000]))
+
+
+def test_every_pair_of_frequent_tokens_is_merged_as_bpe_does(low_bpe):
+    """Words of two or three tokens, among them all pairs that the table calls incompatible."""
+    whole = Tokenizer.from_file(low_bpe)
+    own = bpe.word_bpe(low_bpe)
+    rng = random.Random(3)
+    words = [t for t in whole.get_vocab() if t.isascii() and t.isalpha() and t.islower()]
+    for _ in range(3_000):
+        word = "".join(rng.choice(words) for _ in range(rng.randrange(1, 4)))
+        assert own.encode(word).tolist() == whole.encode(word, add_special_tokens=False).ids, word
+
+
+def test_bpe_query(docs, low_bpe):
+    df, rows = docs
+    whole = Tokenizer.from_file(low_bpe)
+    wanted = []
+    for doc, text, *_ in rows:
+        ids = whole.encode(text or "", add_special_tokens=False).ids
+        back = whole.decode(ids, skip_special_tokens=False)
+        digest = lambda s: hashlib.sha256(s.encode()).hexdigest()
+        wanted.append((doc, len(ids), digest(" ".join(map(str, ids))), digest(back)))
+    assert tuples(bpe.digests(df, low_bpe)) == sorted(wanted, key=repr)
+    some = bpe.encoded(df, low_bpe).where("doc_id = 9001").collect()
+    assert [bytes(row["decoded"]) for row in some] == [b"a</w> b</w>"] * 2
+
+
+def test_packing(docs, byte_bpe):
+    df, rows = docs
+    for length, pool in ((1024, packing.POOL), (64, 1_000)):
+        pieces = packing.pack(df, byte_bpe, length=length, pool=pool).collect()
+        whole = Tokenizer.from_file(byte_bpe)
+        ids = {d: whole.encode(t or "", add_special_tokens=False).ids + [0] for d, t, *_ in rows}
+        by_doc, by_sequence = {}, {}
+        for p in pieces:
+            own = ids[p["doc_id"]]
+            assert p["doc_tokens"] == len(own) and p["length"] > 0
+            assert p["ids_crc32"] == crc(own[p["start"] : p["start"] + p["length"]])
+            by_doc.setdefault(p["doc_id"], []).append((p["start"], p["length"]))
+            by_sequence.setdefault(p["sequence_id"], []).append((p["offset"], p["length"]))
+        for doc, own in ids.items():
+            times = sum(d == doc for d, *_ in rows)
+            covered = sorted(i for start, n in by_doc[doc] for i in range(start, start + n))
+            assert covered == sorted(list(range(len(own))) * times)
+        fills = []
+        for parts in by_sequence.values():
+            parts.sort()
+            assert [o for o, _ in parts] == [sum(n for _, n in parts[:i]) for i in range(len(parts))]
+            fills.append(sum(n for _, n in parts))
+        assert max(fills) <= length
+        total = sum(map(len, (ids[d] for d, *_ in rows)))
+        assert sum(fills) == total
+        if length == 1024:
+            assert len(fills) <= total / length + 5  # less than one sequence a task
+
+
+def test_dealing_takes_the_cheapest_sequence_with_room():
+    """Against a search through all sequences."""
+    rng = random.Random(8)
+    for _ in range(60):
+        sizes = [rng.choice([0, 1, 5, 63, 30, rng.randrange(64)]) for _ in range(rng.randrange(40))]
+        room = [64] * -(-sum(sizes) // 64)
+        cost = [0.0] * len(room)
+        wanted = [[] for _ in room]
+        waiting = sorted((-s, i, 0) for i, s in enumerate(sizes) if s)
+        while waiting:
+            waiting.sort()
+            size, piece, start = waiting.pop(0)
+            fits = [i for i, r in enumerate(room) if r >= -size]
+            at = min(fits, key=lambda i: (cost[i], i)) if fits else min(
+                (i for i, r in enumerate(room) if r == max(room)), key=lambda i: (cost[i], i)
+            )
+            taken = min(-size, room[at])
+            wanted[at].append((piece, start, taken))
+            room[at] -= taken
+            cost[at] += packing.LINEAR * taken + packing.QUADRATIC * taken * taken
+            if taken < -size:
+                waiting.append((size + taken, piece, start + taken))
+        assert packing.deal(sizes, 64) == wanted
+
+
+@pytest.mark.parametrize("bits", [1, 3, 7, 8, 13, 16, 17, 24, 31, 32])
+def test_bits_round_trip_and_random_access(bits):
+    rng = np.random.default_rng(bits)
+    for n in (0, 1, 7, 8, 9, 1000):
+        ids = rng.integers(0, 1 << bits, n, dtype=np.uint64)
+        data = token_store.pack(ids, bits)
+        assert len(data) == -(-n * bits // 8)
+        assert token_store.unpack(data, bits, 0, n).tolist() == ids.tolist()
+        for _ in range(20):
+            a, b = sorted(rng.integers(0, n + 1, 2).tolist())
+            assert token_store.unpack(data, bits, a, b).tolist() == ids[a:b].tolist()
+
+
+def test_token_store(docs, low_bpe, spark, tmp_path):
+    df, rows = docs
+    whole = Tokenizer.from_file(low_bpe)
+    wanted, start = [], 0
+    for doc, text, *_ in sorted(rows, key=lambda row: row[0]):
+        ids = whole.encode(text or "", add_special_tokens=False).ids + [1]
+        wanted.append((doc, start, len(ids), crc(ids)))
+        start += len(ids)
+    assert tuples(token_store.written_and_read(df, low_bpe)) == sorted(wanted, key=repr)
+    path = str(tmp_path / "store")
+    token_store.token_blocks(df, low_bpe, block=500).write.parquet(path)
+    blocks = spark.read.parquet(path)
+    assert tuples(token_store.documents_of(blocks)) == sorted(wanted, key=repr)
+    assert {row["bits"] for row in blocks.select("bits").distinct().collect()} == {16}
+
+
+def test_nulls_and_empty_tables(spark, byte_bpe, low_bpe):
+    df = spark.createDataFrame([(None, None), (None, "a"), (3, "")], "doc_id bigint, text string")
+    none = df.where("doc_id > 5")
+    assert [row[0] for row in tuples(packing.pack(df, byte_bpe))] == [3, None, None]
+    assert sorted(row[2] for row in tuples(token_store.written_and_read(df, low_bpe))) == [1, 1, 2]
+    assert sorted(row[1] for row in tuples(bpe.digests(df, low_bpe))) == [0, 0, 1]
+    for empty in (packing.pack(none, byte_bpe), token_store.written_and_read(none, low_bpe), bpe.digests(none, low_bpe)):
+        assert empty.collect() == []
