@@ -5,7 +5,18 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sensorloom.llm import bpe, exact_dedup, packing, quality, secrets, token_store
+from sensorloom.llm import (
+    bpe,
+    exact_dedup,
+    html_extract,
+    licenses,
+    near_dedup,
+    packing,
+    quality,
+    secrets,
+    token_store,
+    url_filter,
+)
 from sensorloom.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,7 +31,7 @@ def _op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(secrets.secret_spans(table(spark, sf_dir, "documents")))
 
 
-def _tokenizer(name: str) -> str:
+def tokenizer(name: str) -> str:
     try:
         import public_tokenizers
     except ImportError:
@@ -29,15 +40,31 @@ def _tokenizer(name: str) -> str:
 
 
 def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
+def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judged_urls(table(spark, sf_dir, "pages"))
 
 
 def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_text(table(spark, sf_dir, "pages"))
+
+
+def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
 def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.digests(table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
+    return bpe.digests(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
 def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,7 +73,13 @@ def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_store.written_and_read(table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
+    return token_store.written_and_read(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
+def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
 
 
 def _reachable(query: Query) -> Query:
@@ -63,10 +96,15 @@ def queries() -> dict[str, Query]:
     found = {
         "op1_secrets": _op1,
         "op2_packing": _op2,
+        "op3_url_filter": _op3,
         "op4_exact_dedup": _op4,
+        "op5_html_extraction": _op5,
+        "op6_near_dedup": _op6,
+        "op7_licenses": _op7,
         "op8_bpe": _op8,
         "op9_quality": _op9,
         "op10_token_store": _op10,
+        "pipeline": _pipeline,
     }
     return {name: _reachable(query) for name, query in found.items()}
 

@@ -5,12 +5,12 @@ from sensorloom.llm import entry
 
 @pytest.fixture(scope="session")
 def byte_bpe() -> str:
-    return entry._tokenizer("byte_bpe_50k.json")
+    return entry.tokenizer("byte_bpe_50k.json")
 
 
 @pytest.fixture(scope="session")
 def low_bpe() -> str:
-    return entry._tokenizer("word_bpe_49k.json")
+    return entry.tokenizer("word_bpe_49k.json")
 
 
 # Pieces that texts are put together from where white space, case, marks and special tokens matter.
