@@ -33,7 +33,14 @@ from sensorloom.sinks import (  # noqa: E402
     sample_table,
     write_parquet,
 )
-from sensorloom.sources import raw_path, read_bronze, read_json, readings_from_events  # noqa: E402
+from sensorloom.sources import (  # noqa: E402
+    compact_bronze,
+    raw_path,
+    read_bronze,
+    read_json,
+    readings_from_events,
+    write_bronze,
+)
 from sensorloom.sources.bronze import errors_path  # noqa: E402
 from sensorloom.streaming import ingest_bronze, ingest_errors  # noqa: E402
 from sensorloom.workspace import fresh_database, fresh_directory  # noqa: E402
@@ -45,6 +52,8 @@ except ImportError:
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+CUT = 0.318309886
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -66,12 +75,9 @@ def _over(operator: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def _rounded(*columns: str) -> Callable[[DataFrame], DataFrame]:
-    """Averages depend on the order of summation, so they are compared to six places.
-
-    Scaled first and rounded to a whole number then, as the SQL side does it: `F.round(c, 6)` goes by a double's decimal
-    text, and the two part where the exact average lies half-way (39.1759375).
-    """
-    return lambda df: df.withColumns({c: F.round(F.col(c) * 1e6) / 1e6 for c in columns})
+    """Averages depend on the order of summation in their last digits, so they are compared to six places. Cut where no
+    mean of short decimals lies: half-way values do occur, and the last digit would decide them."""
+    return lambda df: df.withColumns({c: F.floor(F.col(c) * 1e6 + CUT) / 1e6 for c in columns})
 
 
 def _temp_humidity(df: DataFrame, day: Column | None = None) -> DataFrame:
@@ -82,10 +88,6 @@ def _describe(df: DataFrame) -> DataFrame:
     return _rounded("mean", "stddev")(profile.describe_numeric(df))
 
 
-def _row_count(df: DataFrame) -> DataFrame:
-    return df.agg(F.count("*").alias("row_count"))
-
-
 def _days(df: DataFrame) -> DataFrame:
     back = F.unix_seconds(event_time("timestamp")).alias("event_second")
     return with_day(df).select("uuid", "day", back)
@@ -169,10 +171,11 @@ def _write_bronze(spark: SparkSession, sf_dir: str, partitioned: bool = False) -
     bronze = fresh_directory(spark)
     rows = readings(spark, sf_dir)
     if partitioned:
-        with_day(rows).write.partitionBy("day").parquet(raw_path(bronze))
+        write_bronze(with_day(rows), bronze)
     else:
         # Nested directories that mean nothing, as a delivery service leaves them.
-        rows.withColumn("delivered_as", F.col("event_type")).write.partitionBy("delivered_as").parquet(raw_path(bronze))
+        delivered = rows.withColumn("delivered_as", F.col("event_type")).hint("rebalance", "delivered_as")
+        delivered.write.partitionBy("delivered_as").parquet(raw_path(bronze))
     return bronze
 
 
@@ -185,6 +188,14 @@ def _bronze_partitioned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(read_bronze(spark, bronze, partitioned=True), F.col("day").cast("string").alias("day"))
 
 
+def _bronze_compacted_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze of many small files per day, compacted."""
+    bronze, target = fresh_directory(spark), fresh_directory(spark)
+    with_day(readings(spark, sf_dir)).repartition(16).write.partitionBy("day").parquet(raw_path(bronze))
+    compact_bronze(spark, bronze, target)
+    return _flat(read_bronze(spark, target, partitioned=True), F.col("day").cast("string").alias("day"))
+
+
 def _partitioned_event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze = _write_bronze(spark, sf_dir, partitioned=True)
     return kpis.event_counts(read_bronze(spark, bronze, partitioned=True), F.col("day"))
@@ -256,19 +267,29 @@ def _sample_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Ingest
 
 
+# What may follow a reading instead of its closing brace: nothing, and ways to close more than the reading.
+BROKEN_ENDS = ("", "}]} garbage", "}]}", '}],"x":[{}', '}],"x":[2', '}],"r":[{"sensor_id":5}')
+
+
 def _lines_to_ingest(spark: SparkSession, sf_dir: str) -> str:
     """The readings as JSON lines: those of faulty sensors with a text where a number belongs, those of inactive ones
-    cut short, those of `view` events followed by a blank line."""
+    broken in one of six ways, by uuid, those of `view` events followed by a blank line."""
     source = fresh_directory(spark)
     line = F.to_json(F.struct("*"))
+    short = F.to_json(F.struct("sensor_id", "status", "uuid"))
     mistyped = F.to_json(F.struct(F.lit("n/a").alias("temperature"), "status", "uuid"))
+    broken = F.lit(None).cast("string")
+    for i, end in enumerate(BROKEN_ENDS):
+        chosen = F.pmod(F.col("uuid").cast("bigint"), F.lit(len(BROKEN_ENDS))) == i
+        broken = F.when(chosen, F.concat(F.expr("substring(short, 1, length(short) - 1)"), F.lit(end))).otherwise(broken)
     value = (
         F.when(F.col("status") == "faulty", mistyped)
-        .when(F.col("status") == "inactive", F.expr("substring(line, 1, length(line) - 1)"))
+        .when(F.col("status") == "inactive", broken)
         .when(F.col("event_type") == "view", F.concat("line", F.lit("\n")))
         .otherwise(F.col("line"))
     )
-    readings(spark, sf_dir).withColumn("line", line).select(value.alias("value")).write.text(source)
+    lines = readings(spark, sf_dir).withColumns({"line": line, "short": short})
+    lines.select(value.alias("value")).write.text(source)
     return source
 
 
@@ -287,9 +308,7 @@ def _bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _bronze_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze = _ingest_twice(ingest_errors, spark, _lines_to_ingest(spark, sf_dir))
-    lines = spark.read.text(errors_path(bronze))
-    part = lambda name: F.regexp_extract("value", f'"{name}":"([^"]*)"', 1).alias(name)
-    return lines.select(part("uuid"), part("status"))
+    return spark.read.text(errors_path(bronze))
 
 
 # ---------------------------------------------------------------------------------------------------------------------
@@ -310,6 +329,18 @@ def _job_temp_humidity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded("avg_temp", "avg_humidity")(stored)
 
 
+def _job_faulty_geo_cleared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults that bronze no longer has leave the table, too; counted, so that there is a row to compare."""
+    database, bronze = fresh_database(spark), fresh_directory(spark)
+    rows = readings(spark, sf_dir)
+    for status in (F.col("status"), F.lit("active")):
+        rows.withColumn("status", status).write.mode("overwrite").parquet(raw_path(bronze))
+        run_event_geo(spark, JobConfig(bronze, database, "event_geo_kpis"))
+    stale = spark.table(f"{database}.event_geo_kpis_faulty_geo").agg(F.count("*").alias("faulty_places"))
+    events = spark.table(f"{database}.event_geo_kpis_events").agg(F.sum("event_count").alias("readings"))
+    return stale.withColumn("readings", F.lit(events.first()["readings"]).cast("bigint"))
+
+
 def _run_all_on_ingested(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines ingested, all jobs run on the bronze that gives, twice over; the daily figures returned."""
     source, database = fresh_directory(spark), fresh_database(spark)
@@ -335,7 +366,7 @@ def _own_queries() -> dict[str, Query]:
         "faulty_readings": _over(_faulty),
         "status_distribution": _over(lambda df: profile.distribution(df, "status")),
         "event_type_distribution": _over(lambda df: profile.distribution(df, "event_type", "event_count")),
-        "row_count": _over(_row_count),
+        "row_count": _over(profile.row_counts),
         "describe_numeric": _over(_describe),
         "validate": _over(quality.validate),
         "completeness": _over(quality.completeness),
@@ -345,6 +376,7 @@ def _own_queries() -> dict[str, Query]:
         "json_pretty_scan": _json_pretty_scan,
         "bronze_scan": _bronze_scan,
         "bronze_partitioned_scan": _bronze_partitioned_scan,
+        "bronze_compacted_scan": _bronze_compacted_scan,
         "partitioned_event_counts": _partitioned_event_counts,
         "partitioned_temp_humidity": _partitioned_temp_humidity,
         "replace_table_rerun": _replace_table_rerun,
@@ -359,6 +391,7 @@ def _own_queries() -> dict[str, Query]:
         "job_temp_humidity": _job_temp_humidity,
         "job_event_counts": _job(run_event_geo, "event_geo_kpis", "event_geo_kpis_events"),
         "job_faulty_geo": _job(run_event_geo, "event_geo_kpis", "event_geo_kpis_faulty_geo"),
+        "job_faulty_geo_cleared": _job_faulty_geo_cleared,
         "run_all_on_ingested": _run_all_on_ingested,
     }
 
@@ -393,10 +426,16 @@ _FAULTY_GEO = """
 SELECT latitude, longitude, count(sensor_id) AS faulty_count FROM r WHERE status = 'faulty' GROUP BY latitude, longitude
 """
 
-_TEMP_HUMIDITY = """
+
+
+def _cut(figure: str) -> str:
+    return f"floor({figure} * 1e6 + {CUT}) / 1e6"
+
+
+_TEMP_HUMIDITY = f"""
 SELECT "day", latitude, longitude,
-       round(avg(temperature), 6) AS avg_temp, min(temperature) AS min_temp, max(temperature) AS max_temp,
-       round(avg(humidity), 6) AS avg_humidity, min(humidity) AS min_humidity, max(humidity) AS max_humidity
+       {_cut("avg(temperature)")} AS avg_temp, min(temperature) AS min_temp, max(temperature) AS max_temp,
+       {_cut("avg(humidity)")} AS avg_humidity, min(humidity) AS min_humidity, max(humidity) AS max_humidity
 FROM r GROUP BY "day", latitude, longitude
 """
 
@@ -448,12 +487,23 @@ def _completeness() -> str:
 
 def _summary() -> str:
     return " UNION ALL ".join(
-        f"""SELECT '{c}' AS "column", count({c}) AS n, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS stddev,
+        f"""SELECT '{c}' AS "column", count({c}) AS n, {_cut(f"avg({c})")} AS mean, {_cut(f"stddev_samp({c})")} AS stddev,
             CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max FROM r"""
         for c in profile.NUMERIC_COLUMNS
     )
 
 
+def _errors() -> str:
+    ends = " ".join(f"WHEN {i} THEN '{end}'" for i, end in enumerate(BROKEN_ENDS))
+    uuid = """',"status":"' || status || '","uuid":"' || uuid || '"'"""
+    return f"""
+SELECT '{{"temperature":"n/a"' || {uuid} || '}}' AS value FROM r WHERE status = 'faulty'
+UNION ALL
+SELECT '{{"sensor_id":' || sensor_id || {uuid} || CASE CAST(uuid AS BIGINT) % {len(BROKEN_ENDS)} {ends} END AS value
+FROM r WHERE status = 'inactive'
+"""
+
+
 def _table_sizes() -> str:
     groups = {
         "sensor_health": _SENSOR_HEALTH,
@@ -486,6 +536,7 @@ def oracle_sql() -> dict[str, str]:
         "json_pretty_scan": flat,
         "bronze_scan": flat,
         "bronze_partitioned_scan": flat_with_day,
+        "bronze_compacted_scan": flat_with_day,
         "partitioned_event_counts": _EVENT_COUNTS,
         "partitioned_temp_humidity": _TEMP_HUMIDITY,
         "replace_table_rerun": _SENSOR_HEALTH,
@@ -494,12 +545,13 @@ def oracle_sql() -> dict[str, str]:
         "list_tables": _table_sizes(),
         "sample_table": "SELECT least(5, count(DISTINCT sensor_id)) AS sampled FROM r",
         "bronze_ingest": f"{flat_with_day} WHERE status = 'active'",
-        "bronze_errors": "SELECT uuid, status FROM r WHERE status <> 'active'",
+        "bronze_errors": _errors(),
         "job_sensor_health": _SENSOR_HEALTH,
         "job_status_health": _STATUS_HEALTH,
         "job_temp_humidity": _TEMP_HUMIDITY,
         "job_event_counts": _EVENT_COUNTS,
         "job_faulty_geo": _FAULTY_GEO,
+        "job_faulty_geo_cleared": "SELECT 0::BIGINT AS faulty_places, count(*) AS readings FROM r",
         "run_all_on_ingested": _TEMP_HUMIDITY,
     }
     scorecards = {"validate": _scorecard(_VALIDATE), "value_domains": _scorecard(_VALUE_DOMAINS)}

@@ -30,6 +30,24 @@ def sensor_health(readings: DataFrame) -> DataFrame:
     return counts.withColumn("faulty_pct", F.col("faulty_count") / F.col("total_count"))
 
 
+def health_counts(readings: DataFrame) -> DataFrame:
+    """Readings per sensor and status, from which both health figures follow."""
+    return readings.groupBy("sensor_id", "status").agg(F.count("*").alias("n"))
+
+
+def status_health_of(counts: DataFrame) -> DataFrame:
+    """`status_health` from `health_counts`."""
+    known = F.when(F.col("sensor_id").isNotNull(), F.col("n")).otherwise(F.lit(0))
+    return counts.groupBy("status").agg(F.sum(known).alias("sensor_count"))
+
+
+def sensor_health_of(counts: DataFrame) -> DataFrame:
+    """`sensor_health` from `health_counts`."""
+    failed = F.when(is_faulty(), F.col("n")).otherwise(F.lit(0))
+    sums = counts.groupBy("sensor_id").agg(F.sum(failed).alias("faulty_count"), F.sum("n").alias("total_count"))
+    return sums.withColumn("faulty_pct", F.col("faulty_count") / F.col("total_count"))
+
+
 def event_counts(readings: DataFrame, day: Column | None = None) -> DataFrame:
     """Readings per day and event type.
 

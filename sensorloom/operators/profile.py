@@ -13,9 +13,14 @@ def distribution(readings: DataFrame, column: str, name: str = "count") -> DataF
     return readings.groupBy(column).agg(F.count("*").alias(name))
 
 
+def row_counts(readings: DataFrame) -> DataFrame:
+    """Number of rows, as a frame of one row; reads no column."""
+    return readings.agg(F.count("*").alias("row_count"))
+
+
 def row_count(readings: DataFrame) -> int:
-    """Number of rows; reads no column."""
-    return readings.count()
+    """Number of rows."""
+    return row_counts(readings).first()["row_count"]
 
 
 def describe_numeric(readings: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS) -> DataFrame:

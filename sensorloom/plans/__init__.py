@@ -1,6 +1,7 @@
 """Jobs: bronze in, result tables out."""
 
 from sensorloom.plans.jobs import (
+    EmptyBronze,
     JobConfig,
     run_all,
     run_event_geo,
@@ -8,4 +9,4 @@ from sensorloom.plans.jobs import (
     run_temp_humidity,
 )
 
-__all__ = ["JobConfig", "run_all", "run_event_geo", "run_sensor_health", "run_temp_humidity"]
+__all__ = ["EmptyBronze", "JobConfig", "run_all", "run_event_geo", "run_sensor_health", "run_temp_humidity"]

@@ -58,24 +58,3 @@ def iceberg_conf(catalog: str, warehouse: str | None, catalog_type: str = "glue"
     else:
         raise ValueError(f"unknown catalog type: {catalog_type}")
     return settings
-
-
-def s3a_conf(
-    access_key: str | None = None,
-    secret_key: str | None = None,
-    session_token: str | None = None,
-    region: str | None = None,
-) -> dict[str, str]:
-    """Settings for `s3a://` paths; without keys, Hadoop's default credential chain applies."""
-    settings = {"spark.hadoop.fs.s3a.impl": "org.apache.hadoop.fs.s3a.S3AFileSystem"}
-    if access_key and secret_key:
-        settings["spark.hadoop.fs.s3a.access.key"] = access_key
-        settings["spark.hadoop.fs.s3a.secret.key"] = secret_key
-        if session_token:
-            settings["spark.hadoop.fs.s3a.session.token"] = session_token
-            settings["spark.hadoop.fs.s3a.aws.credentials.provider"] = (
-                "org.apache.hadoop.fs.s3a.TemporaryAWSCredentialsProvider"
-            )
-    if region:
-        settings["spark.hadoop.fs.s3a.endpoint"] = f"s3.{region}.amazonaws.com"
-    return settings

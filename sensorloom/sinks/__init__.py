@@ -5,8 +5,17 @@ from sensorloom.sinks.tables import (
     ensure_database,
     ensure_table,
     list_tables,
+    remove_leftovers,
     replace_table,
     sample_table,
 )
 
-__all__ = ["ensure_database", "ensure_table", "list_tables", "replace_table", "sample_table", "write_parquet"]
+__all__ = [
+    "ensure_database",
+    "ensure_table",
+    "list_tables",
+    "remove_leftovers",
+    "replace_table",
+    "sample_table",
+    "write_parquet",
+]

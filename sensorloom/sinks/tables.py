@@ -14,7 +14,6 @@ import re
 import uuid
 from datetime import datetime, timedelta, timezone
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -23,6 +22,8 @@ log = logging.getLogger(__name__)
 
 _VERSION = re.compile(r"v-(\d{8}T\d{12})-[0-9a-f]{8}")
 _VERSION_TIME = "%Y%m%dT%H%M%S%f"
+# Table property: versions that were published and then superseded, oldest first, each with the second it was superseded.
+_SUPERSEDED = "sensorloom.superseded"
 
 
 def ensure_database(spark: SparkSession, database: str, warehouse: str | None = None) -> None:
@@ -55,10 +56,13 @@ def replace_table(
     """Makes `df` the whole content of an existing table; says whether it did.
 
     Columns are matched by name and cast to the table's types. An empty result keeps the old content, as a mistyped
-    input path must not wipe a table, unless `allow_empty`. The frame is evaluated once.
+    input path must not wipe a table, unless `allow_empty`; a job that has looked at its input passes that. For Parquet
+    tables, the frame is evaluated once.
 
-    For Parquet tables, versions beyond the newest `keep` are removed once they are older than `min_age`, which has to
-    exceed the longest read of the table and the longest write to it.
+    A Parquet table keeps its newest `keep` versions, the current one among them. An older one goes once it was superseded
+    `min_age` ago, which gives readers that still hold it time to end. Only versions that were published and superseded
+    are ever removed, however old others are: a version that is being written is none of these. What failed runs left
+    behind goes by `remove_leftovers`.
     """
     spark = df.sparkSession
     target = spark.table(_quoted(table)).schema
@@ -75,7 +79,7 @@ def list_tables(spark: SparkSession, database: str) -> DataFrame:
 
 
 def sample_table(spark: SparkSession, table: str, n: int = 5) -> DataFrame:
-    """Any `n` rows of the table."""
+    """Any `n` rows of the table; they are gathered in one task, so `n` has to be small."""
     return spark.table(_quoted(table)).limit(n)
 
 
@@ -95,41 +99,59 @@ def _replace_version(
         log.warning("%s: empty result, old content kept", table)
         _delete(spark, target)
         return False
+    before = _describe(spark, table)["Location"]
     spark.sql(f"ALTER TABLE {_quoted(table)} SET LOCATION '{_literal(target)}'")
-    _drop_old_versions(spark, root, target, keep, min_age)
+    _drop_superseded(spark, table, root, before, target, keep, min_age)
     return True
 
 
 def _replace_snapshot(df: DataFrame, table: str, allow_empty: bool) -> bool:
-    if allow_empty:
-        df.writeTo(_quoted(table)).overwritePartitions()
-        return True
-    # Kept for the emptiness check, so that the input is not scanned for it and then again for the write.
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if df.isEmpty():
-            log.warning("%s: empty result, old content kept", table)
-            return False
-        df.writeTo(_quoted(table)).overwritePartitions()
-        return True
-    finally:
-        df.unpersist()
-
-
-def _drop_old_versions(spark: SparkSession, root: str, current: str, keep: int, min_age: timedelta) -> None:
-    """Removes versions that are neither current, nor among the newest `keep`, nor younger than `min_age`.
-
-    The age also protects a slower concurrent writer, whose version is not committed yet; leftovers of failed runs go
-    by the same rule.
+    if not allow_empty and df.isEmpty():
+        log.warning("%s: empty result, old content kept", table)
+        return False
+    df.writeTo(_quoted(table)).overwritePartitions()
+    return True
+
+
+def _drop_superseded(
+    spark: SparkSession, table: str, root: str, before: str, current: str, keep: int, min_age: timedelta
+) -> None:
+    """Notes that `before` is superseded and removes what was superseded long enough ago. A run that dies between the swap
+    and the note leaves a version for `remove_leftovers`."""
+    now = datetime.now(timezone.utc).timestamp()
+    noted = _superseded(spark, table)
+    name = before.rstrip("/").rpartition("/")[2]
+    if _VERSION.fullmatch(name) and name not in noted:
+        noted[name] = now
+    noted.pop(current.rpartition("/")[2], None)
+    old = list(noted)[: max(len(noted) - (keep - 1), 0)]
+    for name in old:
+        if noted[name] <= now - min_age.total_seconds():
+            _delete(spark, f"{root}/{name}")
+            del noted[name]
+    value = ",".join(f"{name}={int(second)}" for name, second in noted.items())
+    spark.sql(f"ALTER TABLE {_quoted(table)} SET TBLPROPERTIES ('{_SUPERSEDED}' = '{value}')")
+
+
+def _superseded(spark: SparkSession, table: str) -> dict[str, float]:
+    rows = spark.sql(f"SHOW TBLPROPERTIES {_quoted(table)}").collect()
+    value = next((row["value"] for row in rows if row["key"] == _SUPERSEDED), "")
+    pairs = (entry.split("=") for entry in value.split(",") if entry)
+    return {name: float(second) for name, second in pairs}
+
+
+def remove_leftovers(spark: SparkSession, table: str) -> list[str]:
+    """Removes version directories that the table neither points at nor has noted as superseded, and names them: what
+    failed runs left. For maintenance, while nothing writes to the table: a running write cannot be told from a dead one.
     """
+    location = _describe(spark, table)["Location"]
+    root, known = _version_root(location), {*_superseded(spark, table), location.rstrip("/").rpartition("/")[2]}
     path, fs = _hadoop_path(spark, root)
-    names = sorted(status.getPath().getName() for status in fs.listStatus(path))
-    versions = [name for name in names if _VERSION.fullmatch(name)]
-    latest = datetime.now(timezone.utc) - min_age
-    for name in versions[: max(len(versions) - keep, 0)]:
-        written = datetime.strptime(_VERSION.fullmatch(name)[1], _VERSION_TIME).replace(tzinfo=timezone.utc)
-        if name != current.rsplit("/", 1)[1] and written < latest:
-            _delete(spark, f"{root}/{name}")
+    names = [status.getPath().getName() for status in fs.listStatus(path)] if fs.exists(path) else []
+    gone = sorted(name for name in names if _VERSION.fullmatch(name) and name not in known)
+    for name in gone:
+        _delete(spark, f"{root}/{name}")
+    return gone
 
 
 def _new_version() -> str:

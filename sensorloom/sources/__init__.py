@@ -1,7 +1,7 @@
 """Readers. All return the declared reading schema."""
 
-from sensorloom.sources.bronze import raw_path, read_bronze
+from sensorloom.sources.bronze import compact_bronze, raw_path, read_bronze, write_bronze
 from sensorloom.sources.events import readings_from_events
 from sensorloom.sources.json_files import read_json
 
-__all__ = ["raw_path", "read_bronze", "read_json", "readings_from_events"]
+__all__ = ["compact_bronze", "raw_path", "read_bronze", "read_json", "readings_from_events", "write_bronze"]

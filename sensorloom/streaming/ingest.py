@@ -14,7 +14,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import ArrayType, StringType, StructType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from sensorloom.functions import with_day
 from sensorloom.schema import READING
@@ -32,25 +32,38 @@ INGEST_CONF = {
     "spark.sql.streaming.fileSink.log.compactInterval": "100",
 }
 
-# A backlog is taken in steps of at most this much, so that a lost step is cheap to repeat.
+# Defaults of the file source. A backlog is taken in steps of at most this much, so that a lost step is cheap to repeat;
+# later steps take the rest.
 MAX_BYTES_PER_TRIGGER = 16_384 * BUFFER_BYTES
-# A file is taken however late it shows up; the source's own default would skip one a week older than the newest.
+# A file is taken however late it shows up; the source's own default would skip one a week older than the newest. The
+# driver remembers every file that young: where late files have a bound, pass it.
 MAX_FILE_AGE = "36500d"
 
 _CORRUPT = "_corrupt_record"
-_PARSED = StructType().add("r", ArrayType(READING)).add(_CORRUPT, StringType())
+_END = "__end"
+_MARKED = StructType([*READING.fields, StructField(_END, LongType())])
+_PARSED = StructType().add("r", ArrayType(_MARKED)).add(_CORRUPT, StringType())
 
 
 def read_lines(
-    spark: SparkSession, path: str, max_bytes_per_trigger: int = MAX_BYTES_PER_TRIGGER
+    spark: SparkSession,
+    path: str,
+    max_bytes_per_trigger: int = MAX_BYTES_PER_TRIGGER,
+    max_file_age: str = MAX_FILE_AGE,
+    archive: str | None = None,
 ) -> DataFrame:
-    """Streaming `value` lines of the files under a directory."""
-    return (
-        spark.readStream.option("maxBytesPerTrigger", max_bytes_per_trigger)
-        .option("maxFileAge", MAX_FILE_AGE)
-        .option("recursiveFileLookup", True)
-        .text(path)
-    )
+    """Streaming `value` lines of the files under a directory.
+
+    With `archive`, files move there once they are taken, so that the source stays small to list. Two queries over one
+    directory must not both move its files: archive with a single one, or give each a directory of its own.
+    """
+    reader = spark.readStream.option("maxBytesPerTrigger", max_bytes_per_trigger).option("maxFileAge", max_file_age)
+    if archive:
+        # A source that archives its files cannot look for them at any depth.
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    else:
+        reader = reader.option("recursiveFileLookup", True)
+    return reader.text(path)
 
 
 def readings_of(lines: DataFrame) -> DataFrame:
@@ -58,11 +71,11 @@ def readings_of(lines: DataFrame) -> DataFrame:
 
     Absent fields are NULL, unknown fields are ignored, blank lines are dropped.
     """
-    return _parsed(lines).where(_converted()).select(F.col("r")[0].alias("r")).select("r.*")
+    return _parsed(lines).where(_converted()).select(F.col("r")[1].alias("r")).select(*(f"r.{c}" for c in READING.names))
 
 
 def errors_of(lines: DataFrame) -> DataFrame:
-    """The other lines, unchanged: broken text, a value of the wrong type, more than one object."""
+    """The other lines, unchanged: broken text, a value of the wrong type, more than one object, a field `__end`."""
     return _parsed(lines).where(~_converted()).select("value")
 
 
@@ -99,17 +112,21 @@ def _lines(spark: SparkSession, source: str | DataFrame) -> DataFrame:
 
 
 def _parsed(lines: DataFrame) -> DataFrame:
-    # The line is parsed as the only element of an array: alone, a parser stops at the end of the first object and never
-    # sees what follows it on the line. As a generator's output, the result is computed once; as a projected
+    # The line is parsed as the middle element of an array: alone, a parser stops at the end of the first object and never
+    # sees what follows it on the line. The elements around it hold the line's own hash, so a line that closes the array
+    # by itself cannot put others in their place. As a generator's output, the result is computed once; as a projected
     # column it would be pushed into the filter and computed for both.
-    wrapped = F.concat(F.lit('{"r":['), F.col("value"), F.lit("]}"))
+    mark = F.concat(F.lit(f'{{"{_END}":'), F.xxhash64("value").cast("string"), F.lit("}"))
+    wrapped = F.concat(F.lit('{"r":['), mark, F.lit(","), F.col("value"), F.lit(","), mark, F.lit("]}"))
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     filled = lines.where(F.col("value").rlike(r"\S"))
     return filled.select("value", F.inline(F.array(F.from_json(wrapped, _PARSED, options))))
 
 
 def _converted():
-    single = (F.size("r") == 1) & F.col("r")[0].isNotNull()
+    own, element = F.xxhash64("value"), lambda i: F.get("r", i)
+    marked = (element(0)[_END] == own) & (element(2)[_END] == own) & (F.size("r") == 3)
+    single = marked & element(1).isNotNull() & element(1)[_END].isNull()
     return F.col(_CORRUPT).isNull() & F.coalesce(single, F.lit(False))
 
 

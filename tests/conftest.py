@@ -12,7 +12,7 @@ from sensorloom.schema import READING  # noqa: E402
 
 TESTDATA = Path("/root/testdata")
 
-# The fixed three-reading sample; `uuid` is absent.
+# The three-reading sample; `uuid` is absent.
 SAMPLE = [
     {
         "sensor_id": 42,

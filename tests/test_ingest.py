@@ -170,6 +170,16 @@ ROUTES = {
     '{"location": [1, 2]}': False,
     '{"location": {"latitude": "north"}}': False,
     '{"sensor_id": 1, "temperature": "x", "status": "late"}': False,
+    '{"sensor_id":2}]} garbage': False,
+    '{"sensor_id":3}]}': False,
+    '{"sensor_id":1}],"x":[{}': False,
+    '{"sensor_id":7}],"x":[2': False,
+    '{"sensor_id":4}],"r":[{"sensor_id":5}': False,
+    '{"sensor_id":4}],"r":[{"__end":1},{"sensor_id":5}': False,
+    '{"sensor_id": 1, "__end": 7}': False,
+    '{"sensor_id": 1},{"__end": 7}': False,
+    '{"sensor_id": 1, "__end": null}': True,
+    '{"__end": 7},{"sensor_id": 1}': False,
 }
 
 
@@ -185,8 +195,11 @@ def test_many_lines_against_a_parser_of_its_own(spark):
     lines = []
     for i in range(2_000):
         line = json.dumps(reading(i, rng.randrange(2**31)))
-        kind = rng.randrange(4)
-        lines.append(line[: rng.randrange(1, len(line))] if kind == 0 else line + line if kind == 1 else line)
+        kind = rng.randrange(5)
+        end = rng.choice(["]}", '],"r":[' + line, '],"r":[{"__end":1},{}', '],"x":[', "]} {", "],[{}"])
+        lines.append(
+            line[: rng.randrange(1, len(line))] if kind == 0 else line + line if kind == 1 else line + end if kind == 2 else line
+        )
 
     def single(line):
         try:

@@ -3,6 +3,7 @@ import os
 import subprocess
 import sys
 import uuid
+from dataclasses import replace
 from pathlib import Path
 
 import pytest
@@ -10,9 +11,10 @@ import pytest
 import sensorloom.__main__ as cli
 from sensorloom import schema
 from sensorloom.functions import with_day
-from sensorloom.operators import kpis
-from sensorloom.plans import JobConfig, jobs, run_all, run_event_geo, run_sensor_health, run_temp_humidity
-from sensorloom.session import iceberg_conf, s3a_conf
+from sensorloom.operators import kpis, quality
+from sensorloom.plans import EmptyBronze, JobConfig, jobs, run_all, run_event_geo, run_sensor_health, run_temp_humidity
+from sensorloom.session import iceberg_conf
+from sensorloom import workspace
 from sensorloom.sinks import list_tables
 from tests.conftest import ROOT, SAMPLE, tuples
 
@@ -92,8 +94,42 @@ def test_empty_bronze_keeps_the_tables(spark, make, bronze, target, tmp_path):
     run_sensor_health(spark, JobConfig(bronze, database, "sensor_health", warehouse))
     before = content(spark, database)
     make([]).write.parquet(str(tmp_path / "none" / "raw"))
-    run_sensor_health(spark, JobConfig(str(tmp_path / "none"), database, "sensor_health", warehouse))
+    none = JobConfig(str(tmp_path / "none"), database, "sensor_health", warehouse)
+    with pytest.raises(EmptyBronze, match="no reading"):
+        run_sensor_health(spark, none)
     assert content(spark, database) == before
+    run_sensor_health(spark, replace(none, allow_empty=True))
+    assert content(spark, database) == {"sensor_health": [], "status_health": []}
+
+
+def test_a_result_without_rows_replaces_the_old_one(spark, make, target, tmp_path):
+    """Bronze has readings, none of them faulty any more."""
+    database, warehouse = target
+    bronze = str(tmp_path / "b")
+    for status in ("faulty", "active"):
+        make([{**SAMPLE[0], "status": status}]).write.mode("overwrite").parquet(f"{bronze}/raw")
+        run_event_geo(spark, JobConfig(bronze, database, "geo", warehouse))
+    assert content(spark, database)["geo_faulty_geo"] == []
+    assert len(content(spark, database)["geo_events"]) == 1
+
+
+def test_health_counts_give_what_the_readings_give(make):
+    rows = [{"sensor_id": s, "status": t} for s in (1, 2, None) for t in ("faulty", "active", None) for _ in range(3)]
+    rows += [{"sensor_id": None, "status": "lost"}]
+    readings = make(rows)
+    counts = kpis.health_counts(readings)
+    assert tuples(kpis.sensor_health_of(counts)) == tuples(kpis.sensor_health(readings))
+    assert tuples(kpis.status_health_of(counts)) == tuples(kpis.status_health(readings))
+
+
+def test_health_job_scans_bronze_once_and_leaves_nothing(spark, bronze, target, monkeypatch):
+    database, warehouse = target
+    places, scans = [], []
+    monkeypatch.setattr(jobs, "fresh_directory", lambda s: places.append(workspace.fresh_directory(s)) or places[-1])
+    real = jobs.health_counts
+    monkeypatch.setattr(jobs, "health_counts", lambda df: scans.append(df) or real(df))
+    run_sensor_health(spark, JobConfig(bronze, database, "sensor_health", warehouse))
+    assert len(scans) == 1 and not Path(places[0].removeprefix("file:")).exists()
 
 
 def test_failing_job_is_repeated_once_and_stops_the_rest(spark, bronze, target, monkeypatch):
@@ -129,7 +165,7 @@ def test_config_names_everything_missing(spark):
     assert (lake.full_database, lake.table_format) == ("lake.db", "iceberg")
 
 
-def test_iceberg_and_object_store_settings():
+def test_iceberg_settings():
     glue = iceberg_conf("lake", "s3://w/")
     assert glue["spark.sql.catalog.lake"] == "org.apache.iceberg.spark.SparkCatalog"
     assert glue["spark.sql.catalog.lake.catalog-impl"] == "org.apache.iceberg.aws.glue.GlueCatalog"
@@ -137,10 +173,6 @@ def test_iceberg_and_object_store_settings():
     assert iceberg_conf("local", "s3a://w", "hadoop")["spark.sql.catalog.local.type"] == "hadoop"
     with pytest.raises(ValueError):
         iceberg_conf("lake", None, "other")
-    assert "spark.hadoop.fs.s3a.access.key" not in s3a_conf()
-    keys = s3a_conf("a", "b", "c", "eu-north-1")
-    assert keys["spark.hadoop.fs.s3a.session.token"] == "c"
-    assert keys["spark.hadoop.fs.s3a.endpoint"] == "s3.eu-north-1.amazonaws.com"
 
 
 def command(*args, cwd):
@@ -173,8 +205,14 @@ def test_command_line_from_lines_to_tables(spark, sample, tmp_path, monkeypatch)
         assert tuples(spark.read.schema(columns).parquet(str(versions[-1]))) == tuples(operator(sample))
 
 
+def test_profile_writes_its_tables(spark, sample, bronze, tmp_path):
+    paths = cli.profile_tables(spark, bronze, str(tmp_path / "profile"))
+    assert len(paths) == 5
+    assert tuples(spark.read.parquet(paths[3])) == tuples(quality.validate(sample))
+
+
 def test_command_line_refuses_missing_arguments():
     with pytest.raises(SystemExit):
         cli.main(["sensor-health", "bronze", "db"])
-    with pytest.raises(ValueError, match="Missing required config: bronze"):
+    with pytest.raises(ValueError, match="no value for bronze"):
         cli.main(["sensor-health", "", "db", "t"])

@@ -6,7 +6,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from sensorloom import schema
-from sensorloom.sinks import ensure_database, ensure_table, list_tables, replace_table, sample_table, write_parquet
+from sensorloom.sinks import (
+    ensure_database,
+    ensure_table,
+    list_tables,
+    remove_leftovers,
+    replace_table,
+    sample_table,
+    write_parquet,
+)
 from sensorloom.sinks import tables
 from tests.conftest import tuples
 
@@ -131,13 +139,56 @@ def test_table_can_be_replaced_from_itself(spark, table, result):
 def test_old_versions_go_by_number_and_age(spark, table, result):
     for _ in range(4):
         replace_table(result(FIRST), table)
-    assert len(versions(spark, table)) == 5  # all young, and the empty one
+    assert len(versions(spark, table)) == 5  # all superseded just now, and the empty one
     replace_table(result(FIRST), table, keep=2, min_age=timedelta(0))
     left = versions(spark, table)
     assert len(left) == 2 and Path(location(spark, table)).name in left
     assert tuples(spark.table(table)) == [FIRST]
 
 
+def test_what_failed_runs_left_stays_until_maintenance(spark, table, result):
+    with pytest.raises(Exception, match="boom"):
+        replace_table(result(FIRST).withColumn("total_count", F.raise_error(F.lit("boom")).cast("bigint")), table)
+    unknown = versions(spark, table)
+    for _ in range(3):
+        replace_table(result(FIRST), table, keep=1, min_age=timedelta(0))
+    left = versions(spark, table) - {Path(location(spark, table)).name}
+    assert left and left < unknown
+    assert set(remove_leftovers(spark, table)) == left
+    assert versions(spark, table) == {Path(location(spark, table)).name}
+    assert tuples(spark.table(table)) == [FIRST]
+
+
+def test_a_slow_run_is_whole_though_quick_ones_finish_meanwhile(spark, table, result, tmp_path):
+    """The slow run writes in several waves of tasks; the quick ones clean up as eagerly as they may."""
+    import threading
+    import time
+
+    gate = str(tmp_path / "gate")
+    rows = spark.createDataFrame([(i, 0, 1, 0.0) for i in range(24)], schema.SENSOR_HEALTH).repartition(24)
+
+    def wait(batches):
+        import os
+
+        for batch in batches:
+            end = time.time() + 60
+            while set(batch["sensor_id"]) & {3, 11, 20} and not os.path.exists(gate) and time.time() < end:
+                time.sleep(0.05)
+            yield batch
+
+    slow = threading.Thread(target=lambda: replace_table(rows.mapInPandas(wait, schema.SENSOR_HEALTH), table, min_age=timedelta(0)))
+    slow.start()
+    root, end = Path(location(spark, table).removeprefix("file:")).parent, time.time() + 60
+    while not list(root.glob("v-*/_temporary/0/task_*")) and time.time() < end:
+        time.sleep(0.05)
+    for _ in range(3):
+        replace_table(result(FIRST), table, keep=1, min_age=timedelta(0))
+        assert tuples(spark.table(table)) == [FIRST]
+    Path(gate).touch()
+    slow.join(120)
+    assert tuples(spark.table(table)) == sorted([(i, 0, 1, 0.0) for i in range(24)], key=repr)
+
+
 def test_table_made_by_somebody_else(spark, database, result):
     name = f"{database}.foreign"
     result(FIRST).write.saveAsTable(name)

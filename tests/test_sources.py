@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 from sensorloom.functions import with_day
 from sensorloom.operators import kpis
 from sensorloom.schema import READING
-from sensorloom.sources import read_bronze, read_json
+from sensorloom.sources import compact_bronze, read_bronze, read_json, write_bronze
 from tests.conftest import SAMPLE, plan, tuples
 
 
@@ -96,6 +97,36 @@ def test_partitioned_bronze_prunes_days_and_needs_no_timestamp(spark, by_day):
     assert tuples(kpis.temp_humidity(read, F.col("day"))) == tuples(kpis.temp_humidity(df))
 
 
+def test_day_is_a_date_whatever_the_directories(spark, make, tmp_path):
+    with_day(make([{**SAMPLE[0], "timestamp": None}])).write.partitionBy("day").parquet(str(tmp_path / "undated" / "raw"))
+    (tmp_path / "none" / "raw").mkdir(parents=True)
+    for name, wanted in (("undated", [(42, None)]), ("none", []), ("missing", [])):
+        read = read_bronze(spark, str(tmp_path / name), partitioned=True)
+        assert dict(read.dtypes)["day"] == "date"
+        assert tuples(read.select("sensor_id", "day")) == wanted
+
+
+def files_per_day(bronze):
+    return {p.name: len(list(p.glob("*.parquet"))) for p in Path(bronze).glob("raw/day=*")}
+
+
+def test_files_of_a_day_do_not_follow_the_tasks(spark, make, tmp_path):
+    rows = with_day(make([{**SAMPLE[0], "timestamp": 1704267600 + 86_400 * (i % 3)} for i in range(60)]))
+    for tasks in (1, 30):
+        write_bronze(rows.repartition(tasks), str(tmp_path / f"b{tasks}"))
+    assert files_per_day(tmp_path / "b1") == files_per_day(tmp_path / "b30")
+    assert set(files_per_day(tmp_path / "b30").values()) == {1}
+
+
+def test_compacted_bronze_is_the_same_in_fewer_files(spark, make, tmp_path):
+    rows = with_day(make([{**SAMPLE[0], "timestamp": 1704267600 + 86_400 * (i % 3), "uuid": str(i)} for i in range(60)]))
+    rows.repartition(12).write.partitionBy("day").parquet(str(tmp_path / "old" / "raw"))
+    before = tuples(read_bronze(spark, str(tmp_path / "old"), partitioned=True))
+    compact_bronze(spark, str(tmp_path / "old"), str(tmp_path / "new"))
+    assert tuples(read_bronze(spark, str(tmp_path / "new"), partitioned=True)) == before
+    assert sum(files_per_day(tmp_path / "new").values()) == 3 < sum(files_per_day(tmp_path / "old").values())
+
+
 def test_partitioned_bronze_must_be_partitioned_by_day(spark, sample, tmp_path):
     sample.write.parquet(str(tmp_path / "raw"))
     with pytest.raises(ValueError, match="not partitioned by day"):
