@@ -11,6 +11,7 @@ from sensorloom.llm import (
     html_extract,
     licenses,
     near_dedup,
+    oracles,
     packing,
     quality,
     secrets,
@@ -109,12 +110,9 @@ def queries() -> dict[str, Query]:
     return {name: _reachable(query) for name, query in found.items()}
 
 
-_OP4 = r"""
-WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents),
-g AS (SELECT norm, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY norm)
-SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM n JOIN g USING (norm)
-"""
-
-
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": _OP4}
+    return {
+        "op1_secrets": oracles.secret_scan(),
+        "op4_exact_dedup": oracles.EXACT_DEDUP,
+        "op6_near_dedup": oracles.NEAR_DEDUP,
+    }

@@ -59,21 +59,38 @@ TEXTS = [
 ]
 
 
+def made_texts():
+    rng = random.Random(7)
+    parts = ["password", "Token", "apikey", "=", ": ", " ", "\n", "'", '"', "AKIA", "é😀", "abcdef0123456789", "ABCDEFGHIJKLM"]
+    parts += ["Zx8Qw3Er5Ty7Ui9Op2As", "4Df6Gh1JkLm", "0" * 12, "_", "-", ".", "9f86d081884c7d659a2feaa0c55ad015"]
+    return TEXTS + ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 40))) for _ in range(300)]
+
+
 def scan(spark, rows):
     df = spark.createDataFrame(rows, "doc_id bigint, text string, spans string, start int")
     return secrets.digests(secrets.secret_spans(df))
 
 
 def test_fixed_and_random_texts_against_brute_force(spark):
-    rng = random.Random(7)
-    parts = ["password", "Token", "apikey", "=", ": ", " ", "\n", "'", '"', "AKIA", "é😀", "abcdef0123456789", "ABCDEFGHIJKLM"]
-    parts += ["Zx8Qw3Er5Ty7Ui9Op2As", "4Df6Gh1JkLm", "0" * 12, "_", "-", ".", "9f86d081884c7d659a2feaa0c55ad015"]
-    texts = TEXTS + ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 40))) for _ in range(300)]
+    texts = made_texts()
     got = {row["doc_id"]: tuple(row)[1:] for row in scan(spark, [(i, t, "x", 1) for i, t in enumerate(texts)]).collect()}
     for i, text in enumerate(texts):
         assert got[i] == brute(text), text
 
 
+def test_sql_against_brute_force():
+    import duckdb
+
+    from sensorloom.llm import oracles
+
+    with duckdb.connect() as duck:
+        duck.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+        duck.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(made_texts())))
+        got = {row[0]: row[1:] for row in duck.sql(oracles.secret_scan()).fetchall()}
+    for i, text in enumerate(made_texts()):
+        assert got[i] == brute(text), text
+
+
 def test_null_identifiers_repeated_rows_and_empty_tables(spark):
     rows = [(None, "token=abcdef", None, None), (1, "x", None, None), (1, "x", None, None)]
     assert [row[:2] for row in tuples(scan(spark, rows))] == [(1, 0), (1, 0), (None, 1)]
