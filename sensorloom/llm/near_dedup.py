@@ -115,7 +115,7 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """One row of each group, with all its columns: the one with the smallest identifier. Rows with a null identifier
     stay; repeated rows of the identifier that stays do, too."""
     gone = near_duplicates(docs, id_col, text_col).where("not kept").select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(gone, id_col, "left_anti").select(*docs.columns)
+    return docs.join(gone.hint("merge"), id_col, "left_anti").select(*docs.columns)
 
 
 def _kind(df: DataFrame) -> str:
@@ -150,11 +150,13 @@ def _links(texts: DataFrame, stars: DataFrame) -> DataFrame:
     """Confirmed links `a`, `b`, enough of them for their components to be those of all links."""
     wanted = stars.select("id").union(stars.select("center")).distinct()
     kind = _kind(texts)
-    needed = texts.join(wanted.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
+    # What grows with the table is joined by a shuffle at every size, so a small run has the plan, and the costs a row, of a
+    # large one.
+    needed = texts.join(wanted.withColumnRenamed("id", "doc_id").hint("merge"), "doc_id", "left_semi")
     sets = stored(needed.mapInArrow(_set_rows, f"id {kind}, size bigint, found binary"))
     of_id = sets.select("id", F.col("found").alias("of_id"))
     of_center = sets.select(F.col("id").alias("center"), F.col("found").alias("of_center"))
-    pairs = stars.join(of_id, "id").join(of_center, "center").select("center", "id", "of_center", "of_id")
+    pairs = stars.join(of_id.hint("merge"), "id").join(of_center.hint("merge"), "center").select("center", "id", "of_center", "of_id")
     linked = stored(pairs.mapInArrow(_tested, f"a {kind}, b {kind}"))
     rest = _rest(stars, sets, components(linked), kind)
     return linked.union(rest)
@@ -212,7 +214,7 @@ def _rest(stars: DataFrame, sets: DataFrame, parts: DataFrame, kind: str) -> Dat
     place = ("center", "id", "part")
     left = members.where("outside").select(*place, F.lit(True).alias("left"), row.alias("i"), every("blocks").alias("j"))
     right = members.select(*place, F.lit(False).alias("left"), every("blocks_out").alias("i"), column.alias("j"))
-    blocks = left.union(right).join(sets.select("id", "found"), "id")
+    blocks = left.union(right).join(sets.select("id", "found").hint("merge"), "id")
     return blocks.groupBy("center", "i", "j").applyInPandas(_block_links, f"a {kind}, b {kind}")
 
 
