@@ -104,6 +104,18 @@ def test_a_late_file_older_than_the_rest_is_not_skipped(spark, place):
     assert [row[0] for row in stored(spark, bronze)] == [1, 2]
 
 
+def test_taken_files_can_be_archived(spark, place, tmp_path):
+    source, bronze, checkpoint = place
+    archive = tmp_path / "archive"
+    for i in range(3):
+        put(source, f"f{i}", [json.dumps(reading(i, 0))])
+        lines = read_lines(spark, source, max_file_age="7d", archive=str(archive))
+        ingest_bronze(spark, lines, bronze, checkpoint, ONCE).awaitTermination()
+    assert [row[0] for row in stored(spark, bronze)] == [0, 1, 2]
+    moved, left = {p.name for p in archive.rglob("f?")}, {p.name for p in Path(source).glob("f?")}
+    assert moved and moved | left == {"f0", "f1", "f2"} and not moved & left
+
+
 def test_a_batch_whose_commit_was_lost_is_not_doubled(spark, place):
     """One file per batch; the driver is gone after the last sink write and before the checkpoint's commit."""
     source, bronze, checkpoint = place
