@@ -24,7 +24,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorloom.llm.components import components
-from sensorloom.llm.encoding import Memory
 from sensorloom.llm.frames import stored, text_of
 
 SHINGLE = 5
@@ -41,7 +40,6 @@ _rng = np.random.default_rng(12)
 _PROBES = np.array([_rng.permutation(BINS) for _ in range(BINS)])
 _FACTORS = _rng.integers(1, 1 << 63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _EDGES = np.arange(BINS, dtype=np.uint64) << np.uint64(64 - BIN_BITS)
-_hashes = Memory(xxhash.xxh64_intdigest, 500_000)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -56,7 +54,7 @@ def shingles(text: str) -> np.ndarray:
     words = text.encode().lower().split()
     if not words:
         return np.zeros(0, np.uint64)
-    hashes = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
     width = min(SHINGLE, len(words))
     count = len(words) - width + 1
     sums = np.full(count, width, np.uint64)

@@ -23,7 +23,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from sensorloom.llm.encoding import Memory
 from sensorloom.llm.frames import text_of
 
 SAMPLE_ROWS = 20_000
@@ -36,6 +35,9 @@ MAX_REPEATED = 30  # percent
 REPEAT_WINDOW = 8
 SYMBOLS = b"#*$%&|<>"
 
+# Rows judged at once where their texts are handed on.
+SLICE = 500
+
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 # What the forest splits on, all per word, so that none grows with the length of a text: characters, symbols of the
 # rule, words in capitals, ASCII punctuation. (What the rules decide well by themselves, repeats, only blurs it.)
@@ -43,14 +45,13 @@ FEATURES = ("word_length", "symbols", "capital_words", "marks")
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _POWERS = np.array([pow(int(_MIX), i, 1 << 64) for i in range(REPEAT_WINDOW)], np.uint64)
-_hashes = Memory(xxhash.xxh64_intdigest, 500_000)
 
 
 def repeated_words(words: list[bytes]) -> int:
     """Words that lie in a window of eight words which occurs at least twice, the first occurrence included."""
     if len(words) <= REPEAT_WINDOW:
         return 0
-    hashes = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
     count = len(words) - REPEAT_WINDOW + 1
     windows = np.zeros(count, np.uint64)
     for i, power in enumerate(_POWERS):
@@ -210,8 +211,10 @@ def keep_good(docs: DataFrame, forest: Forest | None, text_col: str = "text") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            _, failed, score = _verdicts(batch.column(at), forest)
-            yield batch.filter(pa.array(~failed & (score <= (forest.threshold if forest else np.inf))))
+            for begin in range(0, batch.num_rows, SLICE):  # whole texts go back: few at a time
+                part = batch.slice(begin, SLICE)
+                _, failed, score = _verdicts(part.column(at), forest)
+                yield part.filter(pa.array(~failed & (score <= (forest.threshold if forest else np.inf))))
 
     return docs.mapInArrow(run, StructType(docs.schema.fields))
 
