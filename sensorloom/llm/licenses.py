@@ -1,9 +1,11 @@
 """License scans by sentence recognition.
 
-A text that mentions licensing at all is cut into sentences; each is normalised (lower case, words only) and looked up
-among known license sentences. A version or a holder's name becomes part of the identifier or is passed over. The
-identifiers found, in order, are then matched against ordered rules, each a sequence of identifiers; what a rule has
-matched is used up, so that a longer license is not also reported as the shorter one it contains.
+A text that mentions licensing at all is normalised (lower case, words only) and cut into pieces, at marks followed by
+white space and at the ends of lines. Known license sentences are looked for as runs of whole pieces of one paragraph: a
+sentence may be wrapped anywhere, and may hold marks inside. Of those that start with one piece, the longest is taken. A
+version or a holder's name becomes part of the identifier or is passed over. The identifiers found, in order, are then
+matched against ordered rules, each a sequence of identifiers; what a rule has matched is used up, so that a longer
+license is not also reported as the shorter one it contains.
 
 All of it happens within a row, by DataFrame functions: no shuffle, no Python.
 """
@@ -101,15 +103,16 @@ RULES = [
     ("All-Rights-Reserved", ["reserved"]),
 ]
 # A text without any of these cannot hold a known sentence.
-MENTIONS = r"(?i)licen|permi|redistribution|endorse|rights reserved|free software|public domain|compliance"
+MENTIONS = r"(?i)licen|permi|redistribution|endorse|rights[\W_]+reserved|free[\W_]+software|public[\W_]+domain|compliance"
 
-# A sentence ends at a line's end or at a mark followed by white space; within a grant, lines may be wrapped.
-_ENDS = r"(?<=[.;:!?])[\x20\x09-\x0D]+|\n[\x20\x09-\x0D]*\n"
 
-
-def normalised(sentence: Column) -> Column:
-    """Lower case, runs of anything but letters and digits as one space."""
-    return F.trim(F.regexp_replace(F.lower(sentence), r"[^\p{L}\p{N}]+", " "))
+def pieces(text: Column) -> Column:
+    """The text's words in lower case, one space between them, a line feed before and after each piece, two where a
+    paragraph ends."""
+    cut = F.regexp_replace(F.lower(text), r"\n[\x20\x09-\x0D]*\n[\x20\x09-\x0D]*", "\n\n")
+    cut = F.regexp_replace(cut, r"(?<=[.;:!?])[\x20\x09\x0B-\x0D]++(?!\n)", "\n")
+    words = F.regexp_replace(cut, r"[^\p{L}\p{N}\n]+", " ")
+    return F.regexp_replace(F.concat(F.lit("\n"), words, F.lit("\n")), r"\x20?\n\x20?", "\n")
 
 
 def _plain(sentence: str) -> str:
@@ -143,16 +146,11 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def _identifiers(text: Column) -> Column:
-    """A line by itself may be a sentence, and so may several wrapped ones: where no line of a stretch is known, the stretch
-    is looked up as a whole."""
-    known = _known()
-    look_up = lambda s: F.element_at(known, normalised(s))
-
-    def of_stretch(stretch):
-        lines = F.filter(F.transform(F.split(stretch, "\n"), look_up), lambda i: i.isNotNull())
-        return F.when(F.size(lines) > 0, lines).otherwise(F.array_compact(F.array(look_up(stretch))))
-
-    return F.flatten(F.transform(F.split(text, _ENDS), of_stretch))
+    """Known sentences are looked for from the left; one that is found is used up."""
+    known = sorted({_plain(sentence) for _, sentence in SENTENCES}, key=lambda s: (-len(s), s))
+    either = "|".join(s.replace(" ", r"[\x20\n]") for s in known)
+    found = F.regexp_extract_all(pieces(text), F.lit(rf"\n({either})(?=\n)"), F.lit(1))
+    return F.transform(found, lambda s: F.element_at(_known(), F.translate(s, "\n", " ")))
 
 
 def _matched(ids: Column) -> Column:

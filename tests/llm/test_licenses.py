@@ -54,3 +54,31 @@ def test_null_identifiers_repeated_rows_and_empty_table(spark):
     df = spark.range(2).selectExpr("id as doc_id", "cast(id as string) as text")
     text = plan(licenses.license_scan(df))
     assert "Exchange" not in text and "Python" not in text
+
+
+def test_every_known_sentence_and_rule_is_found_in_any_wrapping(spark):
+    """On one line, wrapped at every width, wrapped in a comment, and between other sentences."""
+    import textwrap
+
+    wanted = []
+    for identifier, sentence in licenses.SENTENCES:
+        line = " ".join(sentence.split())
+        inside = f"Some words. {line} More words." if line[-1] in ".:;" else line
+        forms = {line, inside, f"Copyright 2020 Somebody\n{line}\nMore: words"}
+        for width in (12, 30, 72):
+            wrapped = textwrap.wrap(line, width, break_long_words=False)
+            forms |= {"\n".join(wrapped), "\r\n".join(wrapped), "".join(f" * {x}\n" for x in wrapped)}
+            forms.add(f"Title\n\n{chr(10).join(wrapped)} \n  \nAn end; and so on.")
+        wanted += [(form, identifier) for form in sorted(forms)]
+    got = scan(spark, [(i, text, 1) for i, (text, _) in enumerate(wanted)]).collect()
+    assert {wanted[r["doc_id"]] for r in got if r["sentence_ids"] != wanted[r["doc_id"]][1]} == set()
+
+    known = {identifier: " ".join(sentence.split()) for identifier, sentence in licenses.SENTENCES}
+    texts = [(name, "\n".join(textwrap.fill(known[i], 60) for i in ids)) for name, ids in licenses.RULES]
+    got = scan(spark, [(i, text, 1) for i, (_, text) in enumerate(texts)]).collect()
+    assert {r["doc_id"]: (r["licenses"], r["n_unmatched"]) for r in got} == {i: (n, 0) for i, (n, _) in enumerate(texts)}
+
+
+def test_a_sentence_is_whole_pieces_of_one_paragraph(spark):
+    texts = ["Not released under the MIT License.", "Released under the MIT License of old.", "All rights\n\nreserved.", "All\nrights"]
+    assert [row["sentence_ids"] for row in scan(spark, [(i, t, 1) for i, t in enumerate(texts)]).collect()] == [""] * 4
