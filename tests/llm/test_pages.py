@@ -73,6 +73,15 @@ def test_broken_null_and_repeated_pages(spark):
     assert html_extract.main_text(df.where("page_id > 99")).collect() == []
 
 
+@pytest.mark.parametrize("tag", ["script", "STYLE", "noscript", "iframe", "textarea", "xmp", "template", "title"])
+def test_text_after_markup_like_text_of_raw_elements(tag):
+    raw = f"<{tag}>for(i=0;i<n;i++){{f('</p>')}} <!-- </{tag}x> it's</{tag.lower()} >"
+    page = f"<body>{raw}<article><p>One {raw} two</p></article>{raw}</body>"
+    for slots in ([], ["/body/article"]):
+        assert html_extract.text_in(page, slots).split() == ["One", "two"]
+    assert html_extract.text_in(f"<p>One<{tag}>i<n two", []) == "One"
+
+
 def test_equal_vectors_make_a_class_and_rare_paths_none():
     import pandas as pd
 
