@@ -82,6 +82,19 @@ def test_text_after_markup_like_text_of_raw_elements(tag):
     assert html_extract.text_in(f"<p>One<{tag}>i<n two", []) == "One"
 
 
+@pytest.mark.parametrize("name", ["class='content has-sidebar'", "class=with-comments", "class=no-ads", "id=skip-target"])
+def test_layout_wrappers_and_words_in_prose_are_no_furniture(name):
+    prose = "<h2 id=search-methods>Search</h2><p class=share-of-votes>Votes <span class=ad>x</span> <math><mi>y</mi></math></p>"
+    prose += "<ul><li class=notice>z</li></ul>"
+    furniture = "<div class='post-comments'>Me</div><div class=sidebar>Side</div><div class='cookie-banner'>Ok</div>"
+    for body in (f"<article>{prose}</article>", f"<div>{prose * 9}</div>"):
+        text = html_extract.text_in(f"<body><div {name}>{body}{furniture}</div></body>", [])
+        assert text.split() == "Search Votes x y z".split() * body.count("<h2")
+    # Teasers in furniture do not open it.
+    page = f"<body><div class=related><article>Other</article></div><article>{prose}</article></body>"
+    assert html_extract.text_in(page, []).split() == "Search Votes x y z".split()
+
+
 def test_equal_vectors_make_a_class_and_rare_paths_none():
     import pandas as pd
 
