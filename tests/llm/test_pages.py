@@ -95,6 +95,21 @@ def test_layout_wrappers_and_words_in_prose_are_no_furniture(name):
     assert html_extract.text_in(page, []).split() == "Search Votes x y z".split()
 
 
+def test_rare_layouts_and_empty_slots_of_a_host(spark):
+    """Twenty-five layouts on a host, each with a class of its own; and pages that have a slot but leave it empty."""
+    kinds = [chr(97 + k) * 3 for k in range(25)]
+    rows = [
+        (i, "http://hot.org/", f"<html><body><div>Logo</div><article class='category-{k}'><p>Text {i}</p></article><div>Terms</div></body>")
+        for i, k in enumerate(kinds * 4)
+    ]
+    full = "<html><body><article><p>{a}</p></article><section class=story><p>{b}</p></section></body>"
+    rows += [(200 + i, "http://two.org/", full.format(a="Long text " * 9 if i else "", b=f"Story {i}")) for i in range(20)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {row["page_id"]: row["text"] for row in html_extract.main_text(df).collect()}
+    assert [got[i] for i in range(100)] == [f"Text {i}" for i in range(100)]
+    assert got[200] == "Story 0" and got[201] == ("Long text " * 9).strip()
+
+
 def test_equal_vectors_make_a_class_and_rare_paths_none():
     import pandas as pd
 
