@@ -1,11 +1,11 @@
-"""Near duplicates by MinHash: documents whose sets of five-word shingles are alike to 85 percent are linked.
+"""Near duplicates by MinHash: documents whose sets of five-word shingles are alike to a given percentage are linked.
 
 1. *Sketch.* One permutation: a set's hashes are dealt into `BINS` bins by their top bits, and the smallest of each bin is
    kept. An empty bin borrows from another by a random order of its own (optimal densification), the same for all
    documents, so bins agree with the probability of the sets' similarity, however small the sets.
 2. *Copies.* Documents with the same set are one node from here on.
-3. *Bands.* `BANDS` groups of `ROWS` bins are hashed to buckets. Two sets of similarity 0.85 share no bucket with a
-   probability of 5e-7.
+3. *Bands.* Groups of bins are hashed to buckets, by default 25 of 5: two sets of similarity 0.85 share no bucket with a
+   probability of 5e-7. For 0.8, 28 groups of 4 come to 4e-7.
 4. *Stars.* Each bucket has a centre, the member that is in the most company over all its buckets; candidate edges lead
    from the centre to the other members only, so a bucket of `n` gives `n - 1`. Links are confirmed on the full sets.
 5. *The rest of a star.* Two members may be linked to each other though they are not to the centre. A member that is in
@@ -74,28 +74,38 @@ def sketch(found: np.ndarray) -> np.ndarray:
     return np.where(filled, values, values[source])
 
 
-def bands(values: np.ndarray) -> np.ndarray:
+def bands(values: np.ndarray, count: int = BANDS, width: int = ROWS) -> np.ndarray:
     """One hash per band; the band's number is part of it."""
-    rows = values[: BANDS * ROWS].reshape(BANDS, ROWS) * _FACTORS[:ROWS]
-    return _mixed(rows.sum(1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64) * _FACTORS[ROWS]).view(np.int64)
-
-
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    rows = values[: count * width].reshape(count, width) * _FACTORS[:width]
+    return _mixed(rows.sum(1, dtype=np.uint64) + np.arange(count, dtype=np.uint64) * _FACTORS[width]).view(np.int64)
+
+
+def near_duplicates(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    percent: int = PERCENT,
+    n_bands: int = BANDS,
+    n_rows: int = ROWS,
+) -> DataFrame:
     """Per row: `doc_id`, `n_shingles`, `component_id` (the smallest identifier reachable by links) and `kept` (whether it
-    is the row's own).
+    is the row's own). Sets alike to `percent` are linked; `n_bands` groups of `n_rows` bins, `BINS` at most, find them.
 
     A null or blank text has no shingles and is linked with nothing. A row with a null identifier is linked with nothing
     and kept, its component null. Rows with one identifier are one document: its texts' links count together. Other
     columns are ignored; an empty table gives an empty result.
     """
     texts = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
-    rows = stored(texts.mapInArrow(_sketched, f"doc_id {_kind(texts)}, n_shingles bigint, digest binary, bands array<bigint>"))
+    if n_bands * n_rows > BINS:
+        raise ValueError(f"{n_bands} bands of {n_rows} need more than {BINS} bins")
+    sketched = lambda batches: _sketched(batches, n_bands, n_rows)
+    rows = stored(texts.mapInArrow(sketched, f"doc_id {_kind(texts)}, n_shingles bigint, digest binary, bands array<bigint>"))
     named = rows.where("doc_id is not null and n_shingles > 0")
     # Equal sets have equal bands: any row's will do.
     sets = stored(named.groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands")))
     same = named.join(sets.select("digest", "id"), "digest").where("doc_id <> id").select(F.col("doc_id").alias("b"), "id")
     stars = stored(_stars(sets.select("id", F.explode("bands").alias("bucket"))))
-    found = _links(texts, stars)
+    found = _links(texts, stars, percent)
     # Copies of a set need no part in the rounds that find components; documents with several sets do.
     several = named.groupBy("doc_id").agg(F.count_distinct("digest").alias("n")).where("n > 1").select("doc_id")
     bridges = same.join(several, same["b"] == several["doc_id"], "left_semi").select(F.col("id").alias("a"), "b")
@@ -109,10 +119,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return joined.select("doc_id", "n_shingles", component.alias("component_id"), kept.alias("kept"))
 
 
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_near_copies(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    percent: int = PERCENT,
+    n_bands: int = BANDS,
+    n_rows: int = ROWS,
+) -> DataFrame:
     """One row of each group, with all its columns: the one with the smallest identifier. Rows with a null identifier
     stay; repeated rows of the identifier that stays do, too."""
-    gone = near_duplicates(docs, id_col, text_col).where("not kept").select(F.col("doc_id").alias(id_col)).distinct()
+    found = near_duplicates(docs, id_col, text_col, percent, n_bands, n_rows)
+    gone = found.where("not kept").select(F.col("doc_id").alias(id_col)).distinct()
     return docs.join(gone.hint("merge"), id_col, "left_anti").select(*docs.columns)
 
 
@@ -120,14 +138,14 @@ def _kind(df: DataFrame) -> str:
     return df.schema["doc_id"].dataType.simpleString()
 
 
-def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sketched(batches: Iterator[pa.RecordBatch], n_bands: int, n_rows: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sizes, digests, all_bands = [], [], []
         for text in batch.column("text"):
             found = shingles(text.as_py())
             sizes.append(len(found))
             digests.append(xxhash.xxh3_128_digest(found.tobytes()))
-            all_bands.append(bands(sketch(found)) if len(found) else [])
+            all_bands.append(bands(sketch(found), n_bands, n_rows) if len(found) else [])
         arrays = [pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(all_bands, pa.list_(pa.int64()))]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *arrays], ["doc_id", "n_shingles", "digest", "bands"])
 
@@ -144,7 +162,7 @@ def _stars(members: DataFrame) -> DataFrame:
     return shared.join(centers, "bucket").where("id <> center").select("center", "id").distinct()
 
 
-def _links(texts: DataFrame, stars: DataFrame) -> DataFrame:
+def _links(texts: DataFrame, stars: DataFrame, percent: int) -> DataFrame:
     """Confirmed links `a`, `b`, enough of them for their components to be those of all links."""
     wanted = stars.select("id").union(stars.select("center")).distinct()
     kind = _kind(texts)
@@ -155,8 +173,8 @@ def _links(texts: DataFrame, stars: DataFrame) -> DataFrame:
     of_id = sets.select("id", F.col("found").alias("of_id"))
     of_center = sets.select(F.col("id").alias("center"), F.col("found").alias("of_center"))
     pairs = stars.join(of_id.hint("merge"), "id").join(of_center.hint("merge"), "center").select("center", "id", "of_center", "of_id")
-    linked = stored(pairs.mapInArrow(_tested, f"a {kind}, b {kind}"))
-    rest = _rest(stars, sets, components(linked), kind)
+    linked = stored(pairs.mapInArrow(lambda batches: _tested(batches, percent), f"a {kind}, b {kind}"))
+    rest = _rest(stars, sets, components(linked), kind, percent)
     return linked.union(rest)
 
 
@@ -167,14 +185,14 @@ def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *arrays], ["id", "size", "found"])
 
 
-def _tested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _tested(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = []
         for a, b in zip(batch.column("of_center"), batch.column("of_id")):
             x, y = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
             # Sets whose sizes are too far apart need no look.
-            close = 100 * min(len(x), len(y)) >= PERCENT * max(len(x), len(y))
-            keep.append(close and _alike(_common(x, y), len(x), len(y)))
+            close = 100 * min(len(x), len(y)) >= percent * max(len(x), len(y))
+            keep.append(close and _alike(_common(x, y), len(x), len(y), percent))
         left = batch.filter(pa.array(keep, pa.bool_()))
         yield pa.RecordBatch.from_arrays([left.column("center"), left.column("id")], ["a", "b"])
 
@@ -185,11 +203,11 @@ def _common(x: np.ndarray, y: np.ndarray) -> int:
     return int((large[at] == small).sum())
 
 
-def _alike(common, size, other):
-    return 100 * common >= PERCENT * (size + other - common)
+def _alike(common, size, other, percent):
+    return 100 * common >= percent * (size + other - common)
 
 
-def _rest(stars: DataFrame, sets: DataFrame, parts: DataFrame, kind: str) -> DataFrame:
+def _rest(stars: DataFrame, sets: DataFrame, parts: DataFrame, kind: str, percent: int) -> DataFrame:
     """Links between members of one star that the links to centres leave in different components."""
     part_of = parts.select("id", "component")
     members = stars.join(part_of, "id", "left").withColumn("part", F.coalesce("component", "id")).drop("component")
@@ -213,10 +231,10 @@ def _rest(stars: DataFrame, sets: DataFrame, parts: DataFrame, kind: str) -> Dat
     left = members.where("outside").select(*place, F.lit(True).alias("left"), row.alias("i"), every("blocks").alias("j"))
     right = members.select(*place, F.lit(False).alias("left"), every("blocks_out").alias("i"), column.alias("j"))
     blocks = left.union(right).join(sets.select("id", "found").hint("merge"), "id")
-    return blocks.groupBy("center", "i", "j").applyInPandas(_block_links, f"a {kind}, b {kind}")
+    return blocks.groupBy("center", "i", "j").applyInPandas(lambda rows: _block_links(rows, percent), f"a {kind}, b {kind}")
 
 
-def _block_links(rows: pd.DataFrame) -> pd.DataFrame:
+def _block_links(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
     """Of all pairs across components, links that connect components not connected yet in this block."""
     found = [np.frombuffer(f, np.uint64) for f in rows["found"]]
     sizes = np.array([len(f) for f in found])
@@ -248,7 +266,7 @@ def _block_links(rows: pd.DataFrame) -> pd.DataFrame:
         of_x = matrix(x)
         for y in (rights[i : i + step] for i in range(0, len(rights), step)):
             common = of_x @ matrix(y).T
-            linked = _alike(common, sizes[x][:, None], sizes[y][None, :]) & (part[x][:, None] != part[y][None, :])
+            linked = _alike(common, sizes[x][:, None], sizes[y][None, :], percent) & (part[x][:, None] != part[y][None, :])
             for i, j in zip(*np.nonzero(linked)):
                 a, b = root(part[x[i]]), root(part[y[j]])
                 if a != b:

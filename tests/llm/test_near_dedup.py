@@ -133,3 +133,17 @@ def test_components_of_chains_and_stars(spark):
     got = components(spark.createDataFrame(links, "a bigint, b bigint"))
     assert tuples(got) == sorted(((x, root(x)) for x in list(part)), key=repr)
     assert components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
+
+
+def test_similarity_and_bands_are_the_callers(spark):
+    """Of 100 shingles, copies keep 82, 80 and 79; the limit itself is alike."""
+    rows = []
+    for k, cut in enumerate((18, 20, 21)):
+        words = [f"{k}w{i}" for i in range(104)]
+        rows += [(10 * k, " ".join(words)), (10 * k + 1, " ".join(words[: 104 - cut]))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    ids = lambda kept: {row["doc_id"] for row in kept.collect()}
+    assert ids(near_dedup.drop_near_copies(df, percent=80, n_bands=28, n_rows=4)) == {0, 10, 20, 21}
+    assert ids(near_dedup.drop_near_copies(df)) == {0, 1, 10, 11, 20, 21}
+    with pytest.raises(ValueError):
+        near_dedup.near_duplicates(df, n_bands=33, n_rows=4)
