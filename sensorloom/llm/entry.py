@@ -8,15 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from sensorloom.llm import (
     bpe,
     exact_dedup,
+    filter_audit,
     html_extract,
     licenses,
     near_dedup,
     oracles,
     packing,
+    phrases,
     quality,
     secrets,
     token_store,
     url_filter,
+    vector_dedup,
 )
 from sensorloom.llm.frames import table
 
@@ -77,6 +80,18 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.written_and_read(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def _op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -105,6 +120,9 @@ def queries() -> dict[str, Query]:
         "op8_bpe": _op8,
         "op9_quality": _op9,
         "op10_token_store": _op10,
+        "op11_filter_audit": _op11,
+        "op12_phrases": _op12,
+        "op13_near_vectors": _op13,
         "pipeline": _pipeline,
     }
     return {name: _reachable(query) for name, query in found.items()}
@@ -115,4 +133,7 @@ def oracle_sql() -> dict[str, str]:
         "op1_secrets": oracles.secret_scan(),
         "op4_exact_dedup": oracles.EXACT_DEDUP,
         "op6_near_dedup": oracles.NEAR_DEDUP,
+        "op11_filter_audit": oracles.FILTER_AUDIT,
+        "op12_phrases": oracles.PHRASES,
+        "op13_near_vectors": oracles.NEAR_VECTORS,
     }

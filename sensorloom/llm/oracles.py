@@ -27,6 +27,86 @@ SELECT doc_id, n AS n_shingles, min(r.b) AS component_id, doc_id = min(r.b) AS k
 FROM n JOIN r ON r.a = doc_id GROUP BY doc_id, n
 """
 
+FILTER_AUDIT = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+    [x for x in string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+') if x <> ''] AS w FROM documents),
+l AS (SELECT doc_id, max(quality) = 1 AS good, max(toxic) = 1 AS toxic FROM labels GROUP BY doc_id),
+m AS (
+  SELECT part, good, toxic, [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
+    100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 3 * length(t), regexp_matches(t, '[#$%&*|]'),
+    coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)] AS fails FROM d LEFT JOIN l USING (doc_id)),
+c AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM m GROUP BY ALL),
+o AS (
+  SELECT '' AS filter_order UNION ALL SELECT filter_order || x FROM o, unnest(['A', 'B', 'C', 'D', 'E']) AS u(x)
+  WHERE NOT contains(filter_order, x)),
+s AS (
+  SELECT filter_order, step, substr(filter_order, step, 1) AS f, [ascii(x) - 64 for x in string_split(filter_order, '')] AS idx
+  FROM o, range(1, 6) AS r(step) WHERE length(filter_order) = 5),
+j AS (
+  SELECT c.*, filter_order, step, f, fails[idx[step]] AS own, len([i for i in idx[1:step - 1] if fails[i]]) > 0 AS gone,
+    len([x for x in fails if x]) AS failed FROM c CROSS JOIN s),
+r AS (
+  SELECT part, filter_order, step, f, sum(n) FILTER (NOT own AND NOT gone) AS kept, sum(n) FILTER (own AND NOT gone) AS removed,
+    sum(n) FILTER (own AND gone) AS redundant, sum(n) FILTER (own AND failed = 1) AS unique_fails,
+    sum(good) FILTER (own AND NOT gone) AS good_lost, sum(toxic) FILTER (own AND NOT gone) AS toxic_lost
+  FROM j GROUP BY part, filter_order, step, f)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(coalesce(kept, 0) AS BIGINT) AS kept,
+  CAST(coalesce(removed, 0) AS BIGINT) AS removed, CAST(coalesce(redundant, 0) AS BIGINT) AS redundant,
+  CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails, CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost,
+  CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+  CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM r
+"""
+
+PHRASES = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (
+  SELECT row_number() OVER () AS piece, lang, [x for x in string_split_regex(piece, '[\x20\x09]+') if x <> ''] AS w FROM p),
+i AS (SELECT piece, lang, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM w WHERE len(w) > 0),
+n AS (SELECT lang, count(*) AS n FROM i GROUP BY lang),
+g AS (
+  SELECT lang, x, x || ' ' || lead(x) OVER o AS x2, x || ' ' || lead(x) OVER o || ' ' || lead(x, 2) OVER o AS x3,
+    x || ' ' || lead(x) OVER o || ' ' || lead(x, 2) OVER o || ' ' || lead(x, 3) OVER o AS x4
+  FROM i WINDOW o AS (PARTITION BY piece ORDER BY i)),
+q AS (
+  SELECT lang, x AS phrase, 1 AS k FROM g UNION ALL SELECT lang, x2, 2 FROM g UNION ALL SELECT lang, x3, 3 FROM g
+  UNION ALL SELECT lang, x4, 4 FROM g),
+f AS (
+  SELECT lang, string_split(phrase, ' ') AS ws, k, count(*) AS a FROM q WHERE phrase IS NOT NULL GROUP BY lang, phrase, k
+  HAVING count(*) >= 30),
+x AS (
+  SELECT f.lang, f.ws, f.a, c.k, l.a AS l, r.a AS r, 2000000::HUGEINT * f.a // (l.a + r.a) AS score
+  FROM f JOIN range(1, 4) AS c(k) ON c.k < f.k JOIN f AS l ON l.lang = f.lang AND l.ws = f.ws[1:c.k]
+  JOIN f AS r ON r.lang = f.lang AND r.ws = f.ws[c.k + 1:]),
+s AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY lang, ws ORDER BY score, k) = 1),
+h AS (
+  SELECT lang, ws[b:b + len - 1] AS ws, max(a) AS longer FROM f, range(2, 4) AS t(len), range(1, 4) AS u(b)
+  WHERE len < f.k AND b + len - 1 <= f.k GROUP BY ALL),
+t AS (
+  SELECT s.lang, array_to_string(s.ws, ' ') AS phrase, a, l, r, CAST(score AS BIGINT) AS score
+  FROM s LEFT JOIN h ON h.lang = s.lang AND h.ws = s.ws WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a),
+k AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM t)
+SELECT lang, rank, phrase, a, l, r, n, score FROM k JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+NEAR_VECTORS = r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+u AS (
+  SELECT * FROM v WHERE label IS NOT NULL AND len(e) > 0 AND len([x for x in e if x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x for x in e if x <> 0]) > 0),
+l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM u AS a JOIN u AS b ON a.label = b.label AND a.vec_id <> b.vec_id
+  AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+n AS (SELECT vec_id, count(b) AS n_links FROM v LEFT JOIN l ON a = vec_id GROUP BY vec_id),
+r AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT vec_id, n_links, min(r.b) AS component_id, vec_id = min(r.b) AS kept FROM n JOIN r ON r.a = vec_id GROUP BY vec_id, n_links
+"""
+
 
 def _found(rank: int, pattern: str, group: int) -> str:
     pattern = pattern.replace("'", "''")
