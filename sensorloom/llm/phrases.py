@@ -35,11 +35,12 @@ TOP = 2_000
 
 # Words whose suffixes a task folds together, and suffixes that meet in one place.
 CHUNK = 2_000_000
-PLACE = 1_000_000
+PLACE = 4_000_000
 # Slots of the table of frequent words.
 SLOTS = 1 << 20
-# A lead with this share of a chunk is reported, and with this share of all words it is hot: at most HOT leads are.
-HOT = 512
+# A lead with this share of a chunk is reported, if it occurs a few times at all. It is hot with this share of all words,
+# but only where it would fill a quarter of a place: so at most HOT leads of each length are hot.
+HOT, REPORTED = 1 << 16, 16
 # Tasks that share in finding one language's first phrases.
 SALTS = 32
 
@@ -115,7 +116,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 large = np.isin(keys, big)
                 lead, keys = lead[large], np.searchsorted(big, keys[large]) * base + third[lead[large]]
             values, times = np.unique(keys, return_counts=True)
-            kept = times * HOT >= len(codes)
+            kept = times >= max(REPORTED, len(codes) / HOT)
             values, times = values[kept], times[kept]
             if length == 2:
                 big = values
@@ -221,7 +222,7 @@ def _code(words: int) -> str:
 def sorted_counts(columns: list[np.ndarray], weight: np.ndarray, least: int = LEAST, lead: int = 1) -> Iterator[tuple[tuple[int, ...], int]]:
     """Phrases of `lead` words or more and their counts, those of `least` and above, by multikey three-way quicksort of
     pointers to the suffixes. `columns` hold the suffixes' words, 0 for none."""
-    work = [(np.arange(len(weight)), 0, ())]
+    work = [(np.arange(len(weight), dtype=np.int32), 0, ())]
     while work:
         pointers, depth, prefix = work.pop()
         words = columns[depth][pointers]
@@ -259,9 +260,10 @@ def _phrases_of_place(rows: pa.Table, least: int) -> pa.Table:
             local = np.array([number.setdefault(w, len(number)) for w in words], np.int32)
             codes = np.frombuffer(rows.column("columns")[i].as_buffer(), _code(len(words)))
             parts.append(local[codes].reshape(DEPTH, -1))
-            weights.append(np.frombuffer(rows.column("weight")[i].as_buffer(), "<u4").astype(np.int64))
-        columns, known = list(np.concatenate(parts, 1)), list(number)
-        for phrase, count in sorted_counts(columns, np.concatenate(weights), least, lead):
+            weights.append(np.frombuffer(rows.column("weight")[i].as_buffer(), "<u4"))
+        columns, known, weight = list(np.concatenate(parts, 1)), list(number), np.concatenate(weights)
+        parts.clear()
+        for phrase, count in sorted_counts(columns, weight, least, lead):
             langs.append(lang)
             phrases.append(b" ".join(known[c] for c in phrase).decode())
             sizes.append(len(phrase))
@@ -282,12 +284,12 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, per_place: int = PLACE
     totals = stored(words.groupBy("lang").agg(F.sum("a").alias("n")))
     all_words = totals.agg(F.sum("n").alias("n")).first()["n"] or 0
     frequent = words.where(F.col("a") >= least)
-    # At most SLOTS numbers, and fewer than HOT leads of each length: their counts add up to no more than all words.
+    # At most SLOTS numbers, and HOT leads of each length: their counts add up to no more than all words.
     slots = frequent.select(F.pmod(F.xxhash64("phrase"), F.lit(SLOTS)).alias("slot")).distinct().collect()
     wanted = np.zeros(SLOTS, bool)
     wanted[[row["slot"] for row in slots]] = True
     hot: dict[str, set[bytes]] = {}
-    for row in counted.where(F.col("size") > 1).where(F.col("a") * HOT >= all_words).collect():
+    for row in counted.where((F.col("size") > 1) & (F.col("a") >= max(all_words / HOT, per_place / 4))).collect():
         hot.setdefault(row["lang"], set()).add(row["phrase"].encode())
     places = max(1, -(-all_words // per_place))
     routed = texts.mapInArrow(
