@@ -19,7 +19,6 @@ import hashlib
 import json
 import re
 import string
-import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorloom.llm.encoding import SEPARATORS, Memory
+from sensorloom.llm.encoding import SEPARATORS, Memory, byte_letters, finder, lowered
 from sensorloom.llm.frames import text_of
 
 # Stands for the end of a word within tokens; no byte is mapped to it.
@@ -35,13 +34,6 @@ _END = "\x00"
 _NEVER = 1 << 60
 
 
-def byte_letters() -> list[str]:
-    """The letter that byte-level tokenizers write for each byte: itself where it prints, else from 256 on."""
-    prints = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
-    hidden = [b for b in range(256) if b not in set(prints)]
-    return [chr(256 + hidden.index(b)) if b in hidden else chr(b) for b in range(256)]
-
-
 class Offsets:
     """Strings of all ids in one buffer, each followed by a space; ids that have no string are refused."""
 
@@ -66,14 +58,13 @@ class WordBpe:
 
     def __init__(self, path: str) -> None:
         import ahocorasick
-        import regex
 
         with open(path, encoding="utf-8") as file:
             data = json.load(file)
         model, vocabulary = data["model"], data["model"]["vocab"]
         self.suffix = model["end_of_word_suffix"]
         self.special = {token["content"]: token["id"] for token in data["added_tokens"]}
-        self.find_words = regex.compile(data["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
+        self.find_words = finder(data["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.letters = byte_letters()
 
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
@@ -180,9 +171,7 @@ class WordBpe:
         return np.array(ids, "<u4").tobytes()
 
     def _plain(self, text: str) -> bytes:
-        text = unicodedata.normalize("NFC", text)
-        # Character by character, as the final form of a sigma depends on its neighbours otherwise.
-        low = "".join(c.lower() for c in text) if "Σ" in text else text.lower()
+        low = lowered(text)
         chunks = _CHUNK.findall(low) if SEPARATORS.search(low) else low.split()
         return b"".join(map(self.words.__getitem__, chunks))
 

@@ -1,15 +1,20 @@
-"""Token ids by the tokenizers library, one word at a time.
+"""Token ids as the tokenizers library gives them, from its files, at the speed of tiktoken.
 
-A text's ids are those of its words in order, as long as the cuts fall where the tokenizer cuts anyway. So each worker
-keeps the ids of the words it has met and calls the library for new ones only, many in one call. Where a cut might not
-be one of the tokenizer's own (two white-space characters next to each other, say), the whole text goes to the library.
+tiktoken's encoder merges by rank as the library does, in linear time. Its ranks are made from the file's own vocabulary
+and merges, for two kinds of file:
+
+* byte-level BPE, where a token's rank is its merge;
+* lower-casing word BPE, whose words end in a suffix: each word gets an end byte, which merges with the byte before it
+  first of all. So a last letter is the suffixed symbol that the file's merges speak of. Words between white space do not
+  depend on each other here: a worker keeps those that it has met, within a bound of bytes, and gathers their ids.
+
+Other files, and texts that hold a special token or a control character used here, go to the library itself.
 """
 
 import functools
 import json
 import os
 import re
-import string
 import unicodedata
 from array import array
 from collections.abc import Callable, Iterable, Iterator
@@ -18,12 +23,19 @@ import numpy as np
 
 # Words remembered per generation; two generations are kept, so frequent words stay.
 WORDS = 500_000
-# Texts whose words are looked up together: they are in memory anyway.
-TEXTS = 200
-
-_SPACES = re.compile(r"\s\s")
+# Bytes of the words and ids that a worker keeps, and characters of a word worth keeping.
+KEPT, KEPT_WORD = 1 << 26, 64
+# Characters of the texts that are looked up together.
+TOGETHER = 1_000_000
 # Python's split() takes these for white space, the tokenizers do not.
 SEPARATORS = re.compile(r"[\x1c-\x1f]")
+_NOT_WORDS = re.compile(r"[\x00\x02\x1c-\x1f]")
+
+# How byte-level BPE cuts a text, and the words of the lower-casing kind.
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+WORD_LEVEL = r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_END, _MARK = "\x00", "\x02"
+PLANE = "\U00010000"
 
 
 class Memory(dict):
@@ -37,58 +49,72 @@ class Memory(dict):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
-        self.put(key, value)
-        return value
-
-    def put(self, key, value) -> None:
         if len(self) >= self.size:
             self.old = dict(self)
             self.clear()
         self[key] = value
+        return value
+
+
+def byte_letters() -> list[str]:
+    """The letter that byte-level tokenizers write for each byte: itself where it prints, else from 256 on."""
+    prints = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
+    hidden = [b for b in range(256) if b not in set(prints)]
+    return [chr(256 + hidden.index(b)) if b in hidden else chr(b) for b in range(256)]
 
 
-class Words:
-    """Ids of the words of one kind: those that stand after `before`. `mark` is a text that a tokenizer always keeps apart
-    from words, and that words of letters do not hold."""
-
-    def __init__(self, whole: Callable[[str], bytes], before: str, mark: str) -> None:
-        self.whole, self.before, self.mark = whole, before, mark
-        self.mark_ids = np.frombuffer(whole(mark), "<u4")
-        self.ids = Memory(lambda word: whole(before + word))
-        self.ends = Memory(whole, 10_000)
-
-    def learn(self, words: set[str]) -> None:
-        """Looks up new words together. A word of letters and the punctuation after it never share a token."""
-        ids, old = self.ids, self.ids.old
-        new = [word for word in words if word not in ids and word not in old]
-        ended = {}
-        for word in new:
-            stem = word.rstrip(string.punctuation)
-            if stem.isalpha() and stem.lower().isalpha():  # some letters become a letter and a mark
-                ended[word] = stem
-        stems = sorted({stem for stem in ended.values() if stem not in ids and stem not in old})
-        found = dict(zip(stems, self._together(stems)))
-        for word, stem in ended.items():
-            of_stem = found.get(stem) or ids[stem]
-            end = word[len(stem) :]
-            ids.put(word, of_stem + self.ends[end] if end else of_stem)
-
-    def _together(self, stems: list[str]) -> Iterator[bytes]:
-        if not stems:
-            return
-        text = self.mark.join(self.before + stem for stem in stems)
-        data = self.whole(text)
-        (cuts,) = np.nonzero(np.frombuffer(data, "<u4") == self.mark_ids[0])
-        if len(self.mark_ids) != 1 or len(cuts) != len(stems) - 1:
-            raise ValueError("the mark has to be one token of its own")
-        begin = 0
-        for cut in cuts.tolist():
-            yield data[begin : 4 * cut]
-            begin = 4 * cut + 4
-        yield data[begin:]
-
-    def __call__(self, words: Iterable[str]) -> bytes:
-        return b"".join(map(self.ids.__getitem__, words))
+class Words(dict):
+    """Ids of words that do not depend on what stands around them. Each word has a number, given when it is first met; `learn`
+    takes new words together and returns all their ids in a row, and how many each has."""
+
+    def __init__(self, learn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], kept: int = KEPT) -> None:
+        super().__init__()
+        self.learn, self.kept = learn, kept
+        self._forget()
+
+    def _forget(self) -> None:
+        self.clear()
+        self.new: list[str] = []
+        self.ids, self.ends, self.size = np.zeros(1 << 16, np.uint32), np.zeros(1 << 16, np.int64), 0
+        self.count = 0
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = self.count + len(self.new)
+        self.new.append(word)
+        return number
+
+    def _learn_new(self) -> None:
+        ids, counts = self.learn(self.new)
+        last = self.ends[self.count - 1] if self.count else 0
+        self.ids = _put(self.ids, last, ids)
+        self.ends = _put(self.ends, self.count, last + np.cumsum(counts))
+        self.size += sum(map(len, self.new)) + 150 * len(self.new) + 4 * len(ids)
+        self.count += len(self.new)
+        for word in self.new:
+            if len(word) > KEPT_WORD:
+                del self[word]
+        self.new = []
+
+    def encode(self, texts: list[list[str]]) -> Iterator[bytes]:
+        """The ids of each text's words."""
+        numbers = [np.fromiter(map(self.__getitem__, words), np.int64, len(words)) for words in texts]
+        if self.new:
+            self._learn_new()
+        for own in numbers:
+            ends = self.ends[own]
+            sizes = ends - np.where(own > 0, self.ends[own - 1], 0)
+            places = np.arange(sizes.sum()) + np.repeat(ends - np.cumsum(sizes), sizes)
+            yield self.ids[places].astype("<u4", copy=False).tobytes()
+        if self.size > self.kept:
+            self._forget()
+
+
+def _put(buffer: np.ndarray, at: int, values: np.ndarray) -> np.ndarray:
+    """The values from a place on, in a larger buffer if need be."""
+    if at + len(values) > len(buffer):
+        buffer = np.concatenate([buffer[:at], np.zeros(at + 2 * len(values), buffer.dtype)])
+    buffer[at : at + len(values)] = values
+    return buffer
 
 
 class Encoder:
@@ -105,60 +131,165 @@ class Encoder:
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         kind = json.loads(self.tokenizer.to_str())
-        before, normal = kind["pre_tokenizer"] or {}, kind["normalizer"]
-        self.spaced = before.get("type") == "ByteLevel" and before["use_regex"] and not before["add_prefix_space"]
-        self.spaced &= not normal
-        split = (before.get("pretokenizers") or [{}])[0]
-        # Text between matches of a pattern without white space goes, so white space always separates.
-        self.dropped = bool(split.get("invert")) and split.get("behavior") == "Removed"
-        self.dropped &= r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+" in split.get("pattern", {}).get("Regex", "")
-        self.lower = self.dropped and "Lowercase" in str(normal)
-        # In the one kind a line feed before a word, or a word after a space, is a token of its own; in the other a digit.
-        if self.spaced:
-            self.first, self.next = (Words(self.whole, b, "\n") for b in ("", " "))
-            self.line = self.whole("\n")
-        elif self.dropped:
-            self.first = Words(self.whole, "", " 0 ")
+        self.fast = self._spaced(kind)
+        self.words = None if self.fast else self._ended(kind)
 
     def whole(self, text: str) -> bytes:
+        """By the library."""
         (found,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
         return array("I", found.ids).tobytes()
 
     def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
-        texts = list(texts)
-        for begin in range(0, len(texts), TEXTS):
-            part = texts[begin : begin + TEXTS]
-            yield from self._by_space(part) if self.spaced else self._by_word(part) if self.dropped else map(self.whole, part)
-
-    def _plain(self, text: str, uneven: re.Pattern) -> bool:
-        return not uneven.search(text) and not any(s in text for s in self.special)
-
-    def _by_space(self, texts: list[str]) -> Iterator[bytes]:
-        lines = [[line.split(" ") for line in t.split("\n")] if self._plain(t, _SPACES) else None for t in texts]
-        self.first.learn({line[0] for text in lines if text for line in text})
-        self.next.learn(set().union(*(line[1:] for text in lines if text for line in text)))
-        for text, cut in zip(texts, lines):
-            if cut is None:
-                yield self.whole(text)
-            else:
-                yield self.line.join(self.first(line[:1]) + self.next(line[1:]) for line in cut)
-
-    def _by_word(self, texts: list[str]) -> Iterator[bytes]:
-        words = [self._lowered(t).split() if self._plain(t, SEPARATORS) else None for t in texts]
-        self.first.learn(set().union(*filter(None, words)))
-        for text, cut in zip(texts, words):
-            yield self.whole(text) if cut is None else self.first(cut)
-
-    def _lowered(self, text: str) -> str:
-        """Fewer different words, where that changes no id: the tokenizer normalises and lowers by itself."""
-        if not self.lower or "Σ" in text or not unicodedata.is_normalized("NFC", text):
-            return text
-        low = text.lower()
-        plain = unicodedata.is_normalized("NFC", low) and not any(s.lower() in low for s in self.special)
-        return low if plain else text
+        waiting, size = [], 0
+        for text in texts:
+            waiting.append(text)
+            size += len(text)
+            if size >= TOGETHER:
+                yield from self._encoded(waiting)
+                waiting, size = [], 0
+        yield from self._encoded(waiting)
+
+    def _encoded(self, texts: list[str]) -> Iterator[bytes]:
+        plain = [not any(s in text for s in self.special) for text in texts]
+        if self.fast:
+            yield from (self._by_text(text) if p else self.whole(text) for text, p in zip(texts, plain))
+        elif self.words is not None:
+            plain = [p and not _NOT_WORDS.search(text) for text, p in zip(texts, plain)]
+            found = self.words.encode([lowered(text).split() for text, p in zip(texts, plain) if p])
+            yield from (next(found) if p else self.whole(text) for text, p in zip(texts, plain))
+            next(found, None)
+        else:
+            yield from map(self.whole, texts)
+
+    def _by_text(self, text: str) -> bytes:
+        try:
+            return self.fast(text).astype("<u4", copy=False).tobytes()
+        except ValueError:  # white space without end: more than the cutting pattern takes
+            return self.whole(text)
+
+    def _spaced(self, kind: dict) -> Callable | None:
+        """Byte-level BPE whose words take the space before them along."""
+        before, model = kind["pre_tokenizer"] or {}, kind["model"]
+        plain = before.get("type") == "ByteLevel" and before["use_regex"] and not before["add_prefix_space"]
+        if not plain or kind["normalizer"] or model["end_of_word_suffix"] or not _simple(model):
+            return None
+        encoding, ids = _ranked(model, BYTE_LEVEL)
+
+        def fast(text: str) -> np.ndarray:
+            return ids[encoding.encode_to_numpy(text, disallowed_special=())]
+
+        return fast
+
+    def _ended(self, kind: dict) -> Words | None:
+        """Lower-casing BPE of words with a suffix, white space dropped."""
+        before, model, normal = kind["pre_tokenizer"] or {}, kind["model"], kind["normalizer"] or {}
+        split, level = (*(before.get("pretokenizers") or ()), {}, {})[:2]
+        pattern = split.get("pattern", {}).get("Regex", "")
+        plain = split.get("invert") and split.get("behavior") == "Removed" and pattern.endswith(WORD_LEVEL)
+        plain = plain and level.get("type") == "ByteLevel" and not level["add_prefix_space"] and not level["use_regex"]
+        steps = [step["type"] for step in normal.get("normalizers", ())]
+        if not plain or steps != ["NFC", "Replace", "Lowercase"] or not model["end_of_word_suffix"] or not _simple(model):
+            return None
+        words = finder(pattern)
+        encoding, ids = _ranked(model, f"[^{_END}]+{_END}", model["end_of_word_suffix"])
+        mark = ids[256 + ord(_MARK)]
+
+        def learn(new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+            found = words(f" {_MARK} ".join([*new, ""]))
+            ended = _END.join(found) + _END
+            got = ids[encoding.encode_to_numpy(ended, disallowed_special=())]
+            cuts = np.flatnonzero(got == mark)
+            return np.delete(got, cuts), np.diff(cuts, prepend=-1) - 1
+
+        return Words(learn)
+
+
+def _letters() -> list[str]:
+    """All characters of the planes that hold letters, but surrogates."""
+    return list(map(chr, [*range(0xD800), *range(0xE000, 0x40000)]))
+
+
+def _ranges(runs: list[str]) -> str:
+    """Inside of a character class: from the first to the last of each run."""
+    return "".join(f"{re.escape(run[0])}-{re.escape(run[-1])}" for run in runs)
+
+
+@functools.cache
+def finder(pattern: str) -> Callable[[str], list[str]]:
+    """All matches of a pattern. Which characters are letters, numbers or white space depends on the edition of Unicode: where
+    a text holds one that the library and `regex` see differently, the pattern has the library's classes written out."""
+    import regex
+    from tokenizers import Regex
+    from tokenizers.pre_tokenizers import Split
+
+    letters = "".join(_letters())
+    written, other = pattern, set()
+    for name in (r"\p{L}", r"\p{N}", r"\s"):
+        spans = [text for text, _ in Split(Regex(f"{name}+"), "removed", invert=True).pre_tokenize_str(letters)]
+        written = written.replace(name, _ranges(spans))
+        other |= set("".join(spans)) ^ set(regex.findall(name, letters))
+    runs = regex.findall(r"\S+", "".join(c if c in other and c < PLANE else " " for c in letters))
+    exact, plain = re.compile(written).findall, regex.compile(pattern).findall
+    # One range for all other planes: many would be slow to look through, and such characters are rare.
+    differs = re.compile(f"[{_ranges(runs)}{PLANE}-\U0003ffff]").search
+    return lambda text: exact(text) if not text.isascii() and differs(text) else plain(text)
+
+
+@functools.cache
+def _newer_letters() -> tuple[re.Pattern, dict[int, str]]:
+    """Letters whose lower case the library knows and Python does not yet."""
+    from tokenizers.normalizers import Lowercase
+
+    letters = [c for c in _letters() if unicodedata.category(c) == "Cn"]
+    low = Lowercase().normalize_str("\n".join(letters)).split("\n")
+    found = {ord(c): small for c, small in zip(letters, low) if c != small}
+    return re.compile(f"[{''.join(map(chr, found))}]" if found else "(?!)"), found
+
+
+def lowered(text: str) -> str:
+    """In composed form and lower case, character by character, as the final form of a sigma depends on its neighbours
+    otherwise."""
+    if text.isascii():
+        return text.lower()
+    text = unicodedata.normalize("NFC", text)
+    newer, low = _newer_letters()
+    if newer.search(text):
+        text = text.translate(low)
+    return "".join(c.lower() for c in text) if "Σ" in text else text.lower()
+
+
+def _simple(model: dict) -> bool:
+    """Nothing but merges."""
+    options = ("dropout", "unk_token", "continuing_subword_prefix", "fuse_unk", "byte_fallback", "ignore_merges")
+    return model["type"] == "BPE" and not any(model.get(option) for option in options)
+
+
+def _ranked(model: dict, pattern: str, suffix: str | None = None):
+    """tiktoken's encoder of a file's merges, and the file's id for each of its ranks: single bytes, with a suffix those
+    before the end byte, and then merges in order."""
+    import tiktoken
+
+    letters, vocabulary = byte_letters(), model["vocab"]
+    bytes_of = {letter: bytes([i]) for i, letter in enumerate(letters)}
+    end = _END.encode()
+
+    def written(token: str) -> bytes:
+        ended = suffix is not None and token.endswith(suffix)
+        return b"".join(map(bytes_of.__getitem__, token[: -len(suffix)] if ended else token)) + end * ended
+
+    tokens = [(bytes([i]), letter) for i, letter in enumerate(letters)]
+    if suffix:
+        tokens += [(bytes([i]) + end, letter + suffix) for i, letter in enumerate(letters)]
+    merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    tokens += [(written(a + b), a + b) for a, b in merges]
+    ranks = {data: rank for rank, (data, _) in enumerate(tokens)}
+    if len(ranks) != len(tokens):
+        raise ValueError("each token has to come from one merge")
+    ids = np.array([vocabulary.get(token, -1) for _, token in tokens], np.int64)
+    return tiktoken.Encoding("merges", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), ids.astype(np.uint32)
 
 
 @functools.cache
 def encoder(path: str) -> Encoder:
-    """One per worker process, so that words stay known from task to task."""
+    """One per worker process."""
     return Encoder(path)

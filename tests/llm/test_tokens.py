@@ -37,6 +37,47 @@ def test_encoder_gives_the_librarys_ids(texts, byte_bpe, low_bpe):
             assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_encoder_on_every_character(byte_bpe, low_bpe):
+    """Whatever a character is to one library's tables, it is to the other's."""
+    for path in (byte_bpe, low_bpe):
+        whole, own, step = Tokenizer.from_file(path), Encoder(path), 512
+        for begin in range(0, 0x110000, step):
+            letters = [chr(c) for c in range(begin, begin + step) if not 0xD800 <= c < 0xE000]
+            text = "".join(f"a{c}b {c} 1{c}" for c in letters)
+            (ids,) = own.encode([text])
+            assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, hex(begin)
+
+
+def test_encoder_on_long_and_blank_lined_texts(byte_bpe, low_bpe):
+    rng = random.Random(5)
+    letters = "".join(rng.choices("abcdefghijklmnopqrstuvwxyzABC0123456789+/", k=200_000))
+    prose = "\n\n".join("Some words,  two spaces;\tand a tab. \n" * 3 for _ in range(500))
+    for text in (letters, "x" * 200_000, " " * 300_000 + "a", "\n" * 1_000 + "a\n\n", prose, "ab" * 1_000 + "\x00" + "c", "日本語" * 9_000):
+        for path in (byte_bpe, low_bpe):
+            (ids,) = Encoder(path).encode([text])
+            assert np.frombuffer(ids, "<u4").tolist() == library(path, text), (path, text[:20])
+
+
+def test_encoder_takes_blank_lines_itself(byte_bpe, low_bpe, monkeypatch):
+    """Blank lines, runs of spaces, marks: none of these sends a text to the slow way."""
+    texts = ["One line.\n\nAnother.  Two spaces.", "tab\there\r\n\r\nthere", "\xa0\u3000 x", "a" * 9_000, ""]
+    for path in (byte_bpe, low_bpe):
+        wanted = [library(path, t) for t in texts]
+        own = Encoder(path)
+        monkeypatch.setattr(own, "whole", None)
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in own.encode(texts)] == wanted
+
+
+def test_words_are_forgotten_and_learned_again(texts, low_bpe):
+    own = Encoder(low_bpe)
+    wanted = list(own.encode(texts))
+    own.words.kept = 1
+    for some in (texts[:700], texts[700:], texts):
+        assert list(own.encode(some)) == wanted[texts.index(some[0]) :][: len(some)]
+        assert len(own.words) == 0
+    assert list(own.encode([])) == []
+
+
 def test_memory_forgets_and_makes_again():
     made = []
     memory = Memory(lambda key: made.append(key) or key * 2, 3)
