@@ -71,10 +71,12 @@ def test_encoder_takes_blank_lines_itself(byte_bpe, low_bpe, monkeypatch):
 def test_words_are_forgotten_and_learned_again(texts, low_bpe):
     own = Encoder(low_bpe)
     wanted = list(own.encode(texts))
-    own.words.kept = 1
-    for some in (texts[:700], texts[700:], texts):
-        assert list(own.encode(some)) == wanted[texts.index(some[0]) :][: len(some)]
-        assert len(own.words) == 0
+    for kept in (1, 20_000, 200_000):
+        own.words.kept = kept
+        for begin, end in ((0, 700), (700, None), (0, None)):
+            assert list(own.encode(texts[begin:end])) == wanted[begin:end]
+            assert own.words.size <= kept
+    assert 0 < len(own.words) < len({w for t in texts for w in t.split()})
     assert list(own.encode([])) == []
 
 
