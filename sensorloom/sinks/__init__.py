@@ -2,6 +2,7 @@
 
 from sensorloom.sinks.files import write_parquet
 from sensorloom.sinks.tables import (
+    ConcurrentReplace,
     ensure_database,
     ensure_table,
     list_tables,
@@ -11,6 +12,7 @@ from sensorloom.sinks.tables import (
 )
 
 __all__ = [
+    "ConcurrentReplace",
     "ensure_database",
     "ensure_table",
     "list_tables",

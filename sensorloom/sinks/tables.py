@@ -3,10 +3,11 @@
 Two kinds of table are served:
 
 * snapshot formats (Iceberg): `writeTo(...).overwritePartitions()`, which commits atomically;
-* Parquet tables: every run writes a fresh version directory beside the earlier ones and then repoints the table with
-  one catalog call. Readers see the old content or the new, never a mixture; a failed run leaves the table alone; and a
-  frame opened before the swap keeps reading its version as long as that is kept. Of two runs at once, the one that
-  swaps last wins, with its whole result.
+* Parquet tables: every run writes a fresh version directory beside the earlier ones, commits it under the next number and
+  then repoints the table with one catalog call. Readers see the old content or the new, never a mixture; a failed run
+  leaves the table alone; and a frame opened before the swap keeps reading its version as long as that is kept. Of two
+  runs at once, one gets the number. The other raises, or commits its own whole result after it; either way the table
+  ends on the version of the last commit, whoever makes the catalog call last, and no version is forgotten.
 """
 
 import logging
@@ -18,12 +19,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from sensorloom.commits import CommitLog
+
 log = logging.getLogger(__name__)
 
 _VERSION = re.compile(r"v-(\d{8}T\d{12})-[0-9a-f]{8}")
 _VERSION_TIME = "%Y%m%dT%H%M%S%f"
-# Table property: versions that were published and then superseded, oldest first, each with the second it was superseded.
-_SUPERSEDED = "sensorloom.superseded"
+
+
+class ConcurrentReplace(RuntimeError):
+    """Another run replaced the table while this one was writing."""
 
 
 def ensure_database(spark: SparkSession, database: str, warehouse: str | None = None) -> None:
@@ -52,6 +57,7 @@ def replace_table(
     allow_empty: bool = False,
     keep: int = 2,
     min_age: timedelta = timedelta(days=1),
+    on_conflict: str = "retry",
 ) -> bool:
     """Makes `df` the whole content of an existing table; says whether it did.
 
@@ -63,13 +69,18 @@ def replace_table(
     `min_age` ago, which gives readers that still hold it time to end. Only versions that were published and superseded
     are ever removed, however old others are: a version that is being written is none of these. What failed runs left
     behind goes by `remove_leftovers`.
+
+    Where another run has replaced the table since this one began, `on_conflict="raise"` raises `ConcurrentReplace` and
+    leaves that run's content; with "retry", this run's content follows it, as if it had begun later.
     """
+    if on_conflict not in ("retry", "raise"):
+        raise ValueError(f"on_conflict is retry or raise, not {on_conflict}")
     spark = df.sparkSession
     target = spark.table(_quoted(table)).schema
     df = df.select(*(F.col(f"`{field.name}`").cast(field.dataType).alias(field.name) for field in target))
     described = _describe(spark, table)
     if described.get("Provider", "").lower() == "parquet":
-        return _replace_version(spark, df, table, described["Location"], allow_empty, keep, min_age)
+        return _replace_version(spark, df, table, described["Location"], allow_empty, keep, min_age, on_conflict)
     return _replace_snapshot(df, table, allow_empty)
 
 
@@ -91,20 +102,46 @@ def _replace_version(
     allow_empty: bool,
     keep: int,
     min_age: timedelta,
+    on_conflict: str,
 ) -> bool:
     root = _version_root(location)
+    commits = _commits(spark, root)
+    number = commits.last() + 1
     target = f"{root}/{_new_version()}"
     df.write.parquet(target)
     if not allow_empty and spark.read.schema(df.schema).parquet(target).isEmpty():
         log.warning("%s: empty result, old content kept", table)
         _delete(spark, target)
         return False
-    before = _describe(spark, table)["Location"]
-    spark.sql(f"ALTER TABLE {_quoted(table)} SET LOCATION '{_literal(target)}'")
-    _drop_superseded(spark, table, root, before, target, keep, min_age)
+    before = location.rstrip("/").rpartition("/")[2]
+    commit = {"version": target.rpartition("/")[2], "before": before if _VERSION.fullmatch(before) else None}
+    while not commits.create(number, commit | {"second": datetime.now(timezone.utc).timestamp()}):
+        if on_conflict == "raise":
+            _delete(spark, target)
+            raise ConcurrentReplace(f"{table} was replaced by another run")
+        number = max(commits.last(), number) + 1
+    _point(spark, table, root, commits, number)
+    _drop_superseded(spark, root, commits, keep, min_age)
     return True
 
 
+def _point(spark: SparkSession, table: str, root: str, commits: CommitLog, number: int) -> None:
+    """Points the table at the last commit's version. Whoever committed looks again after its call: a call that was
+    overtaken is made good by the run that made it."""
+    while True:
+        version = commits.read(number)["version"]
+        spark.sql(f"ALTER TABLE {_quoted(table)} SET LOCATION '{_literal(f'{root}/{version}')}'")
+        last = commits.last()
+        if last == number:
+            return
+        number = last
+
+
+def _commits(spark: SparkSession, root: str) -> CommitLog:
+    parent, _, name = root.rpartition("/")
+    return CommitLog(spark, f"{parent}/_commits/{name}")
+
+
 def _replace_snapshot(df: DataFrame, table: str, allow_empty: bool) -> bool:
     if not allow_empty and df.isEmpty():
         log.warning("%s: empty result, old content kept", table)
@@ -113,39 +150,35 @@ def _replace_snapshot(df: DataFrame, table: str, allow_empty: bool) -> bool:
     return True
 
 
-def _drop_superseded(
-    spark: SparkSession, table: str, root: str, before: str, current: str, keep: int, min_age: timedelta
-) -> None:
-    """Notes that `before` is superseded and removes what was superseded long enough ago. A run that dies between the swap
-    and the note leaves a version for `remove_leftovers`."""
-    now = datetime.now(timezone.utc).timestamp()
-    noted = _superseded(spark, table)
-    name = before.rstrip("/").rpartition("/")[2]
-    if _VERSION.fullmatch(name) and name not in noted:
-        noted[name] = now
-    noted.pop(current.rpartition("/")[2], None)
-    old = list(noted)[: max(len(noted) - (keep - 1), 0)]
-    for name in old:
-        if noted[name] <= now - min_age.total_seconds():
-            _delete(spark, f"{root}/{name}")
-            del noted[name]
-    value = ",".join(f"{name}={int(second)}" for name, second in noted.items())
-    spark.sql(f"ALTER TABLE {_quoted(table)} SET TBLPROPERTIES ('{_SUPERSEDED}' = '{value}')")
-
-
-def _superseded(spark: SparkSession, table: str) -> dict[str, float]:
-    rows = spark.sql(f"SHOW TBLPROPERTIES {_quoted(table)}").collect()
-    value = next((row["value"] for row in rows if row["key"] == _SUPERSEDED), "")
-    pairs = (entry.split("=") for entry in value.split(",") if entry)
-    return {name: float(second) for name, second in pairs}
+def _drop_superseded(spark: SparkSession, root: str, commits: CommitLog, keep: int, min_age: timedelta) -> None:
+    """Removes the versions that were superseded long enough ago, and their commits. The next commit says when."""
+    try:
+        found = [(number, commits.read(number)) for number in commits.numbers()]
+    except Exception:
+        log.info("%s: another run is cleaning up", root)
+        return
+    published = [(None, found[0][1]["before"]), *((number, commit["version"]) for number, commit in found)]
+    limit = datetime.now(timezone.utc).timestamp() - min_age.total_seconds()
+    old = published[: max(len(published) - keep, 0)]
+    for (number, version), (_, following) in zip(old, found):
+        if following["second"] > limit:
+            break
+        if version:
+            _delete(spark, f"{root}/{version}")
+        if number:
+            commits.remove(number)
 
 
 def remove_leftovers(spark: SparkSession, table: str) -> list[str]:
-    """Removes version directories that the table neither points at nor has noted as superseded, and names them: what
+    """Removes version directories that the table neither points at nor a commit names, and names them: what
     failed runs left. For maintenance, while nothing writes to the table: a running write cannot be told from a dead one.
     """
     location = _describe(spark, table)["Location"]
-    root, known = _version_root(location), {*_superseded(spark, table), location.rstrip("/").rpartition("/")[2]}
+    root, known = _version_root(location), {location.rstrip("/").rpartition("/")[2]}
+    commits = _commits(spark, root)
+    for number in commits.numbers():
+        commit = commits.read(number)
+        known |= {commit["version"], commit["before"]}
     path, fs = _hadoop_path(spark, root)
     names = [status.getPath().getName() for status in fs.listStatus(path)] if fs.exists(path) else []
     gone = sorted(name for name in names if _VERSION.fullmatch(name) and name not in known)

@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from sensorloom import schema
+from sensorloom.commits import CommitLog
 from sensorloom.sinks import (
+    ConcurrentReplace,
     ensure_database,
     ensure_table,
     list_tables,
@@ -189,6 +191,82 @@ def test_a_slow_run_is_whole_though_quick_ones_finish_meanwhile(spark, table, re
     assert tuples(spark.table(table)) == sorted([(i, 0, 1, 0.0) for i in range(24)], key=repr)
 
 
+def _meanwhile(monkeypatch, action):
+    """Runs `action` between the writing of a result and its commit, once."""
+    create, done = CommitLog.create, []
+
+    def late(self, number, value):
+        if not done:
+            done.append(True)
+            action()
+        return create(self, number, value)
+
+    monkeypatch.setattr(CommitLog, "create", late)
+
+
+def test_overlapping_runs_raise_or_follow(spark, table, result, monkeypatch):
+    replace_table(result(FIRST), table)
+    _meanwhile(monkeypatch, lambda: replace_table(result(SECOND), table))
+    before = versions(spark, table)
+    with pytest.raises(ConcurrentReplace):
+        replace_table(result(FIRST, FIRST), table, on_conflict="raise")
+    assert tuples(spark.table(table)) == [SECOND]
+    assert len(versions(spark, table)) == len(before) + 1  # the loser's version is gone
+    _meanwhile(monkeypatch, lambda: replace_table(result(SECOND), table))
+    replace_table(result(FIRST), table)
+    assert tuples(spark.table(table)) == [FIRST]
+    # All of them are known: nothing is a leftover, and eager cleaning leaves the current one alone.
+    assert remove_leftovers(spark, table) == []
+    replace_table(result(SECOND), table, keep=1, min_age=timedelta(0))
+    assert versions(spark, table) == {Path(location(spark, table)).name}
+
+
+def test_an_overtaken_catalog_call_is_made_good(spark, table, result, monkeypatch):
+    """Another run commits and repoints the table after this one's commit, but before its catalog call."""
+    read, done = CommitLog.read, []
+
+    def late(self, number):
+        value = read(self, number)
+        if not done:
+            done.append(True)
+            replace_table(result(SECOND), table)
+        return value
+
+    monkeypatch.setattr(CommitLog, "read", late)
+    replace_table(result(FIRST), table)
+    assert tuples(spark.table(table)) == [SECOND]
+
+
+def test_runs_at_once_end_on_the_last_commit(spark, table, result):
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(lambda i: replace_table(result((i, 0, 1, 0.0)), table), range(6)))
+    root = Path(location(spark, table).removeprefix("file:")).parent
+    commits = tables._commits(spark, str(root))
+    assert commits.numbers() == list(range(1, 7))
+    last = commits.read(6)["version"]
+    assert Path(location(spark, table)).name == last
+    assert {commits.read(n)["version"] for n in commits.numbers()} <= versions(spark, table)
+    assert remove_leftovers(spark, table) == []
+
+
+def test_a_wrong_choice_is_refused(table, result):
+    with pytest.raises(ValueError, match="on_conflict"):
+        replace_table(result(FIRST), table, on_conflict="ignore")
+
+
+def test_commits_are_made_once(spark, tmp_path):
+    log = CommitLog(spark, str(tmp_path / "log"))
+    assert log.last() == 0 and log.numbers() == []
+    assert log.create(1, {"a": [1, "ü"]}) and not log.create(1, "other")
+    assert log.create(2, None)
+    assert log.read(1) == {"a": [1, "ü"]} and log.read(2) is None and log.last() == 2
+    log.remove(1)
+    assert log.numbers() == [2]
+    assert not [p for p in (tmp_path / "log").iterdir() if p.name.startswith("_")]
+
+
 def test_table_made_by_somebody_else(spark, database, result):
     name = f"{database}.foreign"
     result(FIRST).write.saveAsTable(name)
