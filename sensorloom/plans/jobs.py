@@ -33,6 +33,9 @@ class JobConfig:
     With a `catalog`, tables are Iceberg tables of that catalog; without, Parquet tables of the built-in one, under
     `warehouse` when given. `partitioned` says that bronze has `day=` directories (our own ingest's layout). A bronze
     without any reading fails the job, as the path may be mistyped; with `allow_empty` it empties the tables.
+
+    With `min_valid_pct`, the job keeps a scorecard (`operators.quality.default_rules`) of the readings that it scans anyway,
+    and publishes nothing where a rule holds for a smaller share of them.
     """
 
     bronze: str
@@ -42,6 +45,7 @@ class JobConfig:
     catalog: str | None = None
     partitioned: bool = False
     allow_empty: bool = False
+    min_valid_pct: float | None = None
 
     def validate(self) -> "JobConfig":
         missing = [name for name in ("bronze", "database", "table") if not getattr(self, name)]

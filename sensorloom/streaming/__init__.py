@@ -1,5 +1,20 @@
-"""Continuous ingest."""
+"""Structured Streaming ingest."""
 
+from sensorloom.streaming.delivery import (
+    deliver_by_size_or_time,
+    delivered_errors,
+    drop_resent,
+    ingest_once,
+    read_delivered,
+)
 from sensorloom.streaming.ingest import ingest_bronze, ingest_errors
 
-__all__ = ["ingest_bronze", "ingest_errors"]
+__all__ = [
+    "deliver_by_size_or_time",
+    "delivered_errors",
+    "drop_resent",
+    "ingest_bronze",
+    "ingest_errors",
+    "ingest_once",
+    "read_delivered",
+]

@@ -79,6 +79,15 @@ def errors_of(lines: DataFrame) -> DataFrame:
     return _parsed(lines).where(~_converted()).select("value")
 
 
+def routed(lines: DataFrame) -> DataFrame:
+    """Every line, parsed once: `route` is `raw`, with the reading's columns, or `errors`, with the line in `value`."""
+    good = F.coalesce(_converted(), F.lit(False))
+    rows = _parsed(lines).select(good.alias("good"), F.col("r")[1].alias("r"), "value")
+    readings = [F.when(F.col("good"), F.col(f"r.{c}")).alias(c) for c in READING.names]
+    value = F.when(~F.col("good"), F.col("value")).alias("value")
+    return rows.select(*readings, value, F.when(F.col("good"), "raw").otherwise("errors").alias("route"))
+
+
 def ingest_bronze(
     spark: SparkSession,
     source: str | DataFrame,
@@ -91,7 +100,7 @@ def ingest_bronze(
     `source` is a directory of text files or any streaming frame with a `value` string column. `trigger` takes the
     arguments of `DataStreamWriter.trigger`.
     """
-    stream = with_day(readings_of(_lines(spark, source))).writeStream.format("parquet").partitionBy("day")
+    stream = with_day(readings_of(lines_of(spark, source))).writeStream.format("parquet").partitionBy("day")
     return _start(stream.option("compression", "snappy"), raw_path(bronze), f"{checkpoint.rstrip('/')}/raw", trigger)
 
 
@@ -103,11 +112,12 @@ def ingest_errors(
     trigger: Mapping[str, object] | None = None,
 ) -> StreamingQuery:
     """Starts delivery of the lines that do not convert to `<bronze>/errors`, as text. Arguments as `ingest_bronze`."""
-    stream = errors_of(_lines(spark, source)).writeStream.format("text")
+    stream = errors_of(lines_of(spark, source)).writeStream.format("text")
     return _start(stream, errors_path(bronze), f"{checkpoint.rstrip('/')}/errors", trigger)
 
 
-def _lines(spark: SparkSession, source: str | DataFrame) -> DataFrame:
+def lines_of(spark: SparkSession, source: str | DataFrame) -> DataFrame:
+    """The lines of a directory, or of a streaming frame."""
     return read_lines(spark, source) if isinstance(source, str) else source.select("value")
 
 

@@ -1,0 +1,116 @@
+import json
+import threading
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from sensorloom.commits import CommitLog
+from sensorloom.streaming import deliver_by_size_or_time, delivered_errors, ingest_once, read_delivered
+from sensorloom.streaming.ingest import routed
+from tests.conftest import tuples
+from tests.test_ingest import LINES, place, put, reading  # noqa: F401
+
+ONCE = {"availableNow": True}
+GOOD = sorted([(1, "2024-01-03", "u1"), (2, "2024-01-03", "u2"), (3, "2024-01-04", "u3"), (4, None, None)], key=repr)
+BAD = sorted([(LINES[2],), (LINES[3],)], key=repr)
+
+
+def stored(spark, bronze):
+    return tuples(read_delivered(spark, bronze).select("sensor_id", F.col("day").cast("string"), "uuid"))
+
+
+def rejected(spark, bronze):
+    return tuples(delivered_errors(spark, bronze))
+
+
+def test_both_routes_from_one_parse(spark, place):  # noqa: F811
+    source, bronze, checkpoint = place
+    assert stored(spark, bronze) == [] and rejected(spark, bronze) == []
+    put(source, "a", LINES)
+    for _ in range(2):
+        ingest_once(spark, source, bronze, checkpoint, ONCE).awaitTermination()
+        assert stored(spark, bronze) == GOOD and rejected(spark, bronze) == BAD
+    put(source, "b", LINES[:1])
+    ingest_once(spark, source, bronze, checkpoint, ONCE).awaitTermination()
+    assert stored(spark, bronze) == sorted([GOOD[0], *GOOD], key=repr)
+    plan = routed(spark.read.text(source))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+
+
+@pytest.mark.parametrize("point", ["before the commit", "after the commit"])
+def test_a_run_that_dies_is_made_good(spark, place, monkeypatch, point):  # noqa: F811
+    """Between the write and the commit, and between the commit and Spark's own note of it."""
+    source, bronze, checkpoint = place
+    put(source, "a", LINES)
+    create = CommitLog.create
+
+    def dying(self, number, value):
+        if point == "after the commit":
+            create(self, number, value)
+        raise RuntimeError("killed")
+
+    monkeypatch.setattr(CommitLog, "create", dying)
+    with pytest.raises(Exception, match="killed"):
+        ingest_once(spark, source, bronze, checkpoint, ONCE).awaitTermination()
+    monkeypatch.setattr(CommitLog, "create", create)
+    if point == "before the commit":
+        assert stored(spark, bronze) == [] and rejected(spark, bronze) == []  # written, but not seen
+    put(source, "b", [json.dumps(reading(9, 1704267600))])
+    ingest_once(spark, source, bronze, checkpoint, ONCE).awaitTermination()
+    assert stored(spark, bronze) == sorted([*GOOD, (9, "2024-01-03", "u9")], key=repr)
+    assert rejected(spark, bronze) == BAD
+
+
+def test_resent_readings_come_once(spark, place):  # noqa: F811
+    source, bronze, checkpoint = place
+    old = json.dumps(reading(5, 3))
+    put(source, "a", [*LINES, *LINES, old])
+    ingest_once(spark, source, bronze, checkpoint, ONCE, resent_within="1 hour").awaitTermination()
+    put(source, "b", [LINES[0], old, json.dumps(reading(6, 1)), LINES[2]])
+    ingest_once(spark, source, bronze, checkpoint, ONCE, resent_within="1 hour").awaitTermination()
+    wanted = [*GOOD, GOOD[3], (5, "1970-01-01", "u5"), (6, "1970-01-01", "u6")]
+    assert stored(spark, bronze) == sorted(wanted, key=repr)  # the one without a uuid as often as it came
+    assert rejected(spark, bronze) == sorted([*BAD, *BAD, (LINES[2],)], key=repr)
+
+
+def test_a_burst_goes_at_once_and_a_trickle_in_time(spark, place):  # noqa: F811
+    source, bronze, checkpoint = place
+    done, seen = threading.Event(), []
+
+    def start(trigger):
+        seen.append(time.monotonic())
+        return ingest_once(spark, source, bronze, checkpoint, trigger)
+
+    result = {}
+
+    def run():
+        result["count"] = deliver_by_size_or_time(spark, source, start, done.is_set, size=20_000, seconds=6, poll=0.1)
+
+    thread = threading.Thread(target=run)
+    thread.start()
+    began = time.monotonic()
+    put(source, "burst", [json.dumps(reading(i, 1704267600)) for i in range(300)])
+    while not seen and time.monotonic() < began + 30:
+        time.sleep(0.05)
+    assert seen[0] - began < 5  # long before the time is up
+    while len(stored(spark, bronze)) < 300 and time.monotonic() < began + 60:
+        time.sleep(0.1)
+    trickle = time.monotonic()
+    put(source, "trickle", LINES[:1])
+    while len(seen) < 2 and time.monotonic() < trickle + 30:
+        time.sleep(0.05)
+    assert seen[1] - trickle >= 5.5
+    put(source, "rest", LINES[1:2])
+    done.set()
+    thread.join(60)
+    assert result["count"] == len(seen) == 3
+    assert len(stored(spark, bronze)) == 302
+
+
+def test_stopped_and_called_again(spark, place):  # noqa: F811
+    source, bronze, checkpoint = place
+    for name in "ab":
+        put(source, name, LINES)
+        deliver_by_size_or_time(spark, source, lambda t: ingest_once(spark, source, bronze, checkpoint, t), lambda: True)
+    assert stored(spark, bronze) == sorted(GOOD * 2, key=repr)
