@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -21,12 +22,14 @@ from sensorloom.functions import event_time, with_day  # noqa: E402
 from sensorloom.operators import kpis, profile, quality  # noqa: E402
 from sensorloom.plans import (  # noqa: E402
     JobConfig,
+    increments,
     run_all,
     run_event_geo,
     run_sensor_health,
     run_temp_humidity,
 )
 from sensorloom.sinks import (  # noqa: E402
+    ConcurrentReplace,
     ensure_table,
     list_tables,
     replace_table,
@@ -38,11 +41,19 @@ from sensorloom.sources import (  # noqa: E402
     raw_path,
     read_bronze,
     read_json,
+    read_json_array,
     readings_from_events,
     write_bronze,
 )
 from sensorloom.sources.bronze import errors_path  # noqa: E402
-from sensorloom.streaming import ingest_bronze, ingest_errors  # noqa: E402
+from sensorloom.streaming import (  # noqa: E402
+    deliver_by_size_or_time,
+    delivered_errors,
+    ingest_bronze,
+    ingest_errors,
+    ingest_once,
+    read_delivered,
+)
 from sensorloom.workspace import fresh_database, fresh_directory  # noqa: E402
 
 try:
@@ -167,6 +178,13 @@ def _json_pretty_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(read_json(spark, path, multiline=True))
 
 
+def _json_split_array_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files, each read by several tasks."""
+    path = fresh_directory(spark)
+    _file_arrays(readings(spark, sf_dir)).write.partitionBy("chunk").text(path)
+    return _flat(read_json_array(spark, path))
+
+
 def _write_bronze(spark: SparkSession, sf_dir: str, partitioned: bool = False) -> str:
     bronze = fresh_directory(spark)
     rows = readings(spark, sf_dir)
@@ -230,6 +248,24 @@ def _replace_table_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table)
 
 
+def _replace_table_conflict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs at once, each with other content and both whole: one is committed, and the other is told or follows."""
+    table = f"{fresh_database(spark)}.status_health"
+    ensure_table(spark, table, schema.STATUS_HEALTH)
+    result = kpis.status_health(readings(spark, sf_dir))
+
+    def run(wanted: str) -> bool:
+        try:
+            return replace_table(result, table, on_conflict=wanted)
+        except ConcurrentReplace:
+            return False
+
+    with ThreadPoolExecutor(3) as pool:
+        committed = list(pool.map(run, ["raise", "raise", "retry"]))
+    # The one that retries is always among them.
+    return spark.table(table).where(F.lit(committed[-1]))
+
+
 def _parquet_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Written twice to one place."""
     root = fresh_directory(spark)
@@ -311,10 +347,78 @@ def _bronze_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.text(errors_path(bronze))
 
 
+def _ingested_once(spark: SparkSession, source: str, **options) -> str:
+    bronze, checkpoint = fresh_directory(spark), fresh_directory(spark)
+    for _ in range(2):
+        ingest_once(spark, source, bronze, checkpoint, {"availableNow": True}, **options).awaitTermination()
+    return bronze
+
+
+def _ingest_once_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bronze = _ingested_once(spark, _lines_to_ingest(spark, sf_dir))
+    return _flat(read_delivered(spark, bronze), F.col("day").cast("string").alias("day"))
+
+
+def _ingest_once_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return delivered_errors(spark, _ingested_once(spark, _lines_to_ingest(spark, sf_dir)))
+
+
+def _ingest_resent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every reading sent twice, those of inactive sensors without a uuid: they cannot be told and come twice."""
+    source = fresh_directory(spark)
+    rows = readings(spark, sf_dir).withColumn("uuid", F.when(F.col("status") != "inactive", F.col("uuid")))
+    _json_text(rows.unionByName(rows)).write.text(source)
+    return _flat(read_delivered(spark, _ingested_once(spark, source, resent_within="1 day")))
+
+
+def _ingest_by_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two bursts, each above the size that opens a batch; a day's time limit plays no part."""
+    source, bronze, checkpoint = (fresh_directory(spark) for _ in range(3))
+    rows = _json_text(readings(spark, sf_dir))
+    rows.where(F.xxhash64("value") % 2 == 0).write.text(source)
+    taken = []
+
+    def start(trigger):
+        if not taken:
+            rows.where(F.xxhash64("value") % 2 != 0).write.mode("append").text(source)
+        taken.append(trigger)
+        return ingest_once(spark, source, bronze, checkpoint, trigger)
+
+    until = lambda: len(taken) > 1
+    deliver_by_size_or_time(spark, source, start, until, size=1, seconds=86_400, poll=0.05)
+    return _flat(read_delivered(spark, bronze), F.col("day").cast("string").alias("day"))
+
+
 # ---------------------------------------------------------------------------------------------------------------------
 # Jobs
 
 
+def _incremental(figures: Callable[[SparkSession, str], DataFrame]) -> Query:
+    """Bronze in two deliveries, counted one after the other."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        bronze, state = fresh_directory(spark), fresh_directory(spark)
+        rows = with_day(readings(spark, sf_dir)).withColumn("half", F.pmod(F.xxhash64("uuid"), F.lit(2)))
+        for half in (0, 1):
+            part = rows.where(F.col("half") == half).drop("half").hint("rebalance", "day")
+            part.write.mode("append").partitionBy("day").parquet(raw_path(bronze))
+            increments.update(spark, bronze, state)
+        return figures(spark, state)
+
+    return query
+
+
+def _incremental_temp_humidity(spark: SparkSession, state: str) -> DataFrame:
+    return _rounded("avg_temp", "avg_humidity")(increments.temp_humidity(spark, state))
+
+
+def _job_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scorecard that a job keeps while it scans."""
+    config = JobConfig(_write_bronze(spark, sf_dir), fresh_database(spark), "sensor_health", min_valid_pct=0)
+    scores = run_sensor_health(spark, config)
+    return spark.createDataFrame(scores, "rule string, valid_count bigint, total bigint, pct double, passed boolean")
+
+
 def _job(job: Callable[[SparkSession, JobConfig], None], table: str, result: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         database = fresh_database(spark)
@@ -374,6 +478,7 @@ def _own_queries() -> dict[str, Query]:
         "json_scan": _json_scan,
         "json_array_scan": _json_array_scan,
         "json_pretty_scan": _json_pretty_scan,
+        "json_split_array_scan": _json_split_array_scan,
         "bronze_scan": _bronze_scan,
         "bronze_partitioned_scan": _bronze_partitioned_scan,
         "bronze_compacted_scan": _bronze_compacted_scan,
@@ -381,11 +486,19 @@ def _own_queries() -> dict[str, Query]:
         "partitioned_temp_humidity": _partitioned_temp_humidity,
         "replace_table_rerun": _replace_table_rerun,
         "replace_table_empty": _replace_table_empty,
+        "replace_table_conflict": _replace_table_conflict,
         "parquet_sink": _parquet_sink,
         "list_tables": _list_tables,
         "sample_table": _sample_table,
         "bronze_ingest": _bronze_ingest,
         "bronze_errors": _bronze_errors,
+        "ingest_once_parsed": _ingest_once_parsed,
+        "ingest_once_errors": _ingest_once_errors,
+        "ingest_resent": _ingest_resent,
+        "ingest_by_size": _ingest_by_size,
+        "incremental_event_counts": _incremental(increments.event_counts),
+        "incremental_temp_humidity": _incremental(_incremental_temp_humidity),
+        "job_scorecard": _job_scorecard,
         "job_sensor_health": _job(run_sensor_health, "sensor_health", "sensor_health"),
         "job_status_health": _job(run_sensor_health, "sensor_health", "status_health"),
         "job_temp_humidity": _job_temp_humidity,
@@ -504,6 +617,11 @@ FROM r WHERE status = 'inactive'
 """
 
 
+def _resent() -> str:
+    known = _FLAT.replace("uuid", "CASE WHEN status <> 'inactive' THEN uuid END AS uuid")
+    return f"SELECT {known} FROM r UNION ALL SELECT {known} FROM r WHERE status = 'inactive'"
+
+
 def _table_sizes() -> str:
     groups = {
         "sensor_health": _SENSOR_HEALTH,
@@ -534,6 +652,7 @@ def oracle_sql() -> dict[str, str]:
         "json_scan": flat,
         "json_array_scan": flat,
         "json_pretty_scan": flat,
+        "json_split_array_scan": flat,
         "bronze_scan": flat,
         "bronze_partitioned_scan": flat_with_day,
         "bronze_compacted_scan": flat_with_day,
@@ -541,11 +660,18 @@ def oracle_sql() -> dict[str, str]:
         "partitioned_temp_humidity": _TEMP_HUMIDITY,
         "replace_table_rerun": _SENSOR_HEALTH,
         "replace_table_empty": _STATUS_HEALTH,
+        "replace_table_conflict": _STATUS_HEALTH,
         "parquet_sink": _EVENT_COUNTS,
         "list_tables": _table_sizes(),
         "sample_table": "SELECT least(5, count(DISTINCT sensor_id)) AS sampled FROM r",
         "bronze_ingest": f"{flat_with_day} WHERE status = 'active'",
         "bronze_errors": _errors(),
+        "ingest_once_parsed": f"{flat_with_day} WHERE status = 'active'",
+        "ingest_once_errors": _errors(),
+        "ingest_resent": _resent(),
+        "ingest_by_size": flat_with_day,
+        "incremental_event_counts": _EVENT_COUNTS,
+        "incremental_temp_humidity": _TEMP_HUMIDITY,
         "job_sensor_health": _SENSOR_HEALTH,
         "job_status_health": _STATUS_HEALTH,
         "job_temp_humidity": _TEMP_HUMIDITY,
@@ -554,6 +680,6 @@ def oracle_sql() -> dict[str, str]:
         "job_faulty_geo_cleared": "SELECT 0::BIGINT AS faulty_places, count(*) AS readings FROM r",
         "run_all_on_ingested": _TEMP_HUMIDITY,
     }
-    scorecards = {"validate": _scorecard(_VALIDATE), "value_domains": _scorecard(_VALUE_DOMAINS)}
+    scorecards = {"validate": _scorecard(_VALIDATE), "job_scorecard": _scorecard(_VALIDATE), "value_domains": _scorecard(_VALUE_DOMAINS)}
     own = {name: f"{_READINGS}{sql}" for name, sql in over_readings.items()} | scorecards
     return own | (llm.oracle_sql() if llm else {})

@@ -2,11 +2,13 @@
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from sensorloom.schema import REQUIRED_FIELDS, STATUSES
 
+_TOTAL = "all readings"
+
 
 def default_rules() -> dict[str, Column]:
     """Rule name to the condition a valid reading meets."""
@@ -39,6 +41,25 @@ def validate(readings: DataFrame, rules: Mapping[str, Column] | None = None) ->
     )
 
 
+def observed(readings: DataFrame, rules: Mapping[str, Column] | None = None) -> tuple[DataFrame, Observation]:
+    """The same readings, and an observation that keeps the scorecard while some action reads them: no scan of its own.
+
+    Put it right after the source, as filters above it are not pushed below it. `scorecard` reads it after the action.
+    """
+    rules = default_rules() if rules is None else rules
+    observation = Observation()
+    counts = [F.count_if(condition).alias(rule) for rule, condition in rules.items()]
+    return readings.observe(observation, F.count("*").alias(_TOTAL), *counts), observation
+
+
+def scorecard(observation: Observation) -> list[tuple[str, int, int, float, bool]]:
+    """The rows of `validate`, from what was observed."""
+    counts = dict(observation.get)
+    total = counts.pop(_TOTAL)
+    pct = {rule: n / total * 100 if total else 0.0 for rule, n in counts.items()}
+    return [(rule, n, total, pct[rule], pct[rule] == 100) for rule, n in counts.items()]
+
+
 def completeness(readings: DataFrame, fields: Sequence[str] = REQUIRED_FIELDS) -> DataFrame:
     """Per required field: readings that lack it (absent or null), and all readings."""
     scores = [

@@ -3,10 +3,11 @@
 from sensorloom.plans.jobs import (
     EmptyBronze,
     JobConfig,
+    RejectedReadings,
     run_all,
     run_event_geo,
     run_sensor_health,
     run_temp_humidity,
 )
 
-__all__ = ["EmptyBronze", "JobConfig", "run_all", "run_event_geo", "run_sensor_health", "run_temp_humidity"]
+__all__ = ["EmptyBronze", "JobConfig", "RejectedReadings", "run_all", "run_event_geo", "run_sensor_health", "run_temp_humidity"]

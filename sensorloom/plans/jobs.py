@@ -1,10 +1,11 @@
 """The three jobs, and all of them in order. Every run recomputes from the whole of bronze and replaces its tables."""
 
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -17,6 +18,7 @@ from sensorloom.operators.kpis import (
     status_health_of,
     temp_humidity,
 )
+from sensorloom.operators.quality import observed, scorecard
 from sensorloom.sinks import ensure_database, ensure_table, replace_table
 from sensorloom.sources import read_bronze
 from sensorloom.workspace import fresh_directory, remove
@@ -68,41 +70,87 @@ class EmptyBronze(ValueError):
     """A bronze without readings, for a job that is not to empty its tables."""
 
 
-def run_sensor_health(spark: SparkSession, config: JobConfig) -> None:
-    """Replaces `<table>` (per sensor) and `status_health` (per status).
+class RejectedReadings(ValueError):
+    """A bronze in which too few readings meet a rule."""
+
+
+Scorecard = list[tuple[str, int, int, float, bool]]
+
+
+def run_sensor_health(spark: SparkSession, config: JobConfig) -> Scorecard | None:
+    """Replaces `<table>` (per sensor) and `status_health` (per status). Returns the scorecard, if one is asked for.
 
     Bronze is scanned once: readings are counted per sensor and status, the counts written to the shared folder, and both
     tables made from them.
     """
-    counts = health_counts(_readings(spark, config))
-    place = fresh_directory(spark)
-    try:
-        counts.write.parquet(place)
-        counts = spark.read.schema(counts.schema).parquet(place)
+    readings, observation = _observed(_readings(spark, config), config)
+    with _written(health_counts(readings)) as counts:
+        scores = _accepted(config, observation)
         _publish(spark, config, config.table, schema.SENSOR_HEALTH, sensor_health_of(counts))
         _publish(spark, config, STATUS_HEALTH_TABLE, schema.STATUS_HEALTH, status_health_of(counts))
-    finally:
-        remove(spark, place)
+    return scores
 
 
-def run_temp_humidity(spark: SparkSession, config: JobConfig) -> None:
-    """Replaces `<table>`: temperature and humidity per day and location."""
-    readings = _readings(spark, config)
-    _publish(spark, config, config.table, schema.TEMP_HUMIDITY, temp_humidity(readings, _day(config)))
+def run_temp_humidity(spark: SparkSession, config: JobConfig) -> Scorecard | None:
+    """Replaces `<table>`: temperature and humidity per day and location. Returns the scorecard, if one is asked for."""
+    readings, observation = _observed(_readings(spark, config), config)
+    result = temp_humidity(readings, _day(config))
+    if observation is None:
+        _publish(spark, config, config.table, schema.TEMP_HUMIDITY, result)
+        return None
+    with _written(result) as result:
+        scores = _accepted(config, observation)
+        _publish(spark, config, config.table, schema.TEMP_HUMIDITY, result)
+    return scores
 
 
-def run_event_geo(spark: SparkSession, config: JobConfig) -> None:
-    """Replaces `<table>_events` and `<table>_faulty_geo`.
+def run_event_geo(spark: SparkSession, config: JobConfig) -> Scorecard | None:
+    """Replaces `<table>_events` and `<table>_faulty_geo`. Returns the scorecard, if one is asked for; the first scan keeps
+    it.
 
     The two scans share no column, so reading bronze once for both would save nothing.
     """
     readings = _readings(spark, config)
-    _publish(spark, config, f"{config.table}_events", schema.EVENT_COUNTS, event_counts(readings, _day(config)))
-    _publish(spark, config, f"{config.table}_faulty_geo", schema.FAULTY_GEO, faulty_geo(readings))
+    events, places = f"{config.table}_events", f"{config.table}_faulty_geo"
+    kept, observation = _observed(readings, config)
+    result, scores = event_counts(kept, _day(config)), None
+    if observation is None:
+        _publish(spark, config, events, schema.EVENT_COUNTS, result)
+    else:
+        with _written(result) as result:
+            scores = _accepted(config, observation)
+            _publish(spark, config, events, schema.EVENT_COUNTS, result)
+    _publish(spark, config, places, schema.FAULTY_GEO, faulty_geo(readings))
+    return scores
+
+
+def _observed(readings: DataFrame, config: JobConfig) -> tuple[DataFrame, Observation | None]:
+    return observed(readings) if config.min_valid_pct is not None else (readings, None)
+
+
+@contextmanager
+def _written(df: DataFrame) -> Iterator[DataFrame]:
+    """The frame from a scratch directory in the shared folder."""
+    place = fresh_directory(df.sparkSession)
+    try:
+        df.write.parquet(place)
+        yield df.sparkSession.read.schema(df.schema).parquet(place)
+    finally:
+        remove(df.sparkSession, place)
+
+
+def _accepted(config: JobConfig, observation: Observation | None) -> Scorecard | None:
+    if observation is None:
+        return None
+    scores = scorecard(observation)
+    bad = [f"{rule} {pct:.2f} %" for rule, _, total, pct, _ in scores if total and pct < config.min_valid_pct]
+    if bad:
+        raise RejectedReadings(f"{config.bronze}: {', '.join(bad)} valid, {config.min_valid_pct} % wanted")
+    return scores
 
 
 # The jobs in their order, and the table argument each is run with.
-STEPS: tuple[tuple[Callable[[SparkSession, JobConfig], None], str], ...] = (
+STEPS: tuple[tuple[Callable[[SparkSession, JobConfig], object], str], ...] = (
     (run_sensor_health, "sensor_health"),
     (run_temp_humidity, "temp_humidity_kpis"),
     (run_event_geo, "event_geo_kpis"),
@@ -118,9 +166,10 @@ def run_all(
     partitioned: bool = False,
     retries: int = 1,
     allow_empty: bool = False,
+    min_valid_pct: float | None = None,
 ) -> None:
     """Runs the three jobs in order in one session. A job that still fails after `retries` stops the rest."""
-    base = JobConfig(bronze, database, STEPS[0][1], warehouse, catalog, partitioned, allow_empty)
+    base = JobConfig(bronze, database, STEPS[0][1], warehouse, catalog, partitioned, allow_empty, min_valid_pct)
     for job, table in STEPS:
         _with_retries(lambda job=job, table=table: job(spark, replace(base, table=table)), job.__name__, retries)
 

@@ -16,6 +16,7 @@ from sensorloom.plans import EmptyBronze, JobConfig, jobs, run_all, run_event_ge
 from sensorloom.session import iceberg_conf
 from sensorloom import workspace
 from sensorloom.sinks import list_tables
+from sensorloom.sources import raw_path
 from tests.conftest import ROOT, SAMPLE, tuples
 
 TABLES = {
@@ -216,3 +217,27 @@ def test_command_line_refuses_missing_arguments():
         cli.main(["sensor-health", "bronze", "db"])
     with pytest.raises(ValueError, match="no value for bronze"):
         cli.main(["sensor-health", "", "db", "t"])
+
+
+@pytest.mark.parametrize("job, table", [(run_sensor_health, "t"), (run_temp_humidity, "t"), (run_event_geo, "t_events")])
+def test_scorecard_from_the_jobs_own_scan(spark, make, tmp_path, job, table):
+    """Equal to `validate`; too low a share publishes nothing and leaves what was there."""
+    from sensorloom.operators.quality import validate
+    from sensorloom.plans import RejectedReadings
+
+    name = f"db_{uuid.uuid4().hex[:8]}"
+    rows = [{**SAMPLE[0], "temperature": 20.0 if i % 10 else 500.0, "sensor_id": i} for i in range(50)]
+    make(rows).write.parquet(raw_path(str(tmp_path / "bronze")))
+    config = JobConfig(str(tmp_path / "bronze"), name, "t", str(tmp_path / "warehouse"), min_valid_pct=90)
+    try:
+        scores = job(spark, config)
+        assert sorted(scores) == tuples(validate(make(rows)))
+        before = tuples(spark.table(f"{name}.{table}"))
+        make([{**SAMPLE[1], "temperature": 999.0}] * 20).write.mode("append").parquet(raw_path(config.bronze))
+        with pytest.raises(RejectedReadings, match="temp_in_range"):
+            job(spark, config)
+        assert tuples(spark.table(f"{name}.{table}")) == before
+        assert job(spark, replace(config, min_valid_pct=None)) is None
+        assert tuples(spark.table(f"{name}.{table}")) != before
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")

@@ -2,6 +2,7 @@ import json
 from pathlib import Path
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from sensorloom.functions import with_day
@@ -11,6 +12,61 @@ from sensorloom.sources import compact_bronze, read_bronze, read_json, write_bro
 from tests.conftest import SAMPLE, plan, tuples
 
 
+def _odd_readings(n):
+    tricky = ['a "quoted" {', "}]", "\\", '\\"', "[[{", "é日本", "", "line\nfeed", "tab\t}, {"]
+    return [
+        {**SAMPLE[i % 3], "sensor_id": i, "uuid": tricky[i % len(tricky)] + str(i), "extra": {"deep": [{"x": [1, {"y": "}"}]}]}}
+        for i in range(n)
+    ]
+
+
+@pytest.mark.parametrize("indent", [None, 0, 1, 4, "lines"])
+@pytest.mark.parametrize("split", [64, 700, 1 << 20])
+def test_array_split_anywhere(spark, tmp_path, indent, split):
+    """However an array is laid out, and wherever it is cut, its elements are those of a plain reader."""
+    from sensorloom.sources import read_json_array
+
+    rows = _odd_readings(60)
+    if indent == "lines":
+        text = "[\n" + ",\n".join(json.dumps(r) for r in rows) + "\n]\n"
+    else:
+        text = json.dumps(rows, indent=indent, ensure_ascii=False)
+    (tmp_path / "a.json").write_text(text, encoding="utf-8")
+    (tmp_path / "b.json").write_text(json.dumps(rows[:7], indent=2).replace("},\n  {", "}, {"))
+    (tmp_path / "one.json").write_text(json.dumps(rows[8], indent=2))
+    (tmp_path / "empty.json").write_text("")
+    (tmp_path / "none.json").write_text("[\n]\n")
+    (tmp_path / "mixed.json").write_text('[1,\n null, "{", [{"sensor_id": 3}],\n {"sensor_id": 5}\n]')
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        found = tuples(read_json_array(spark, str(tmp_path)))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    names = [*READING.names]
+    wanted = []
+    for r in [*rows, *rows[:7], rows[8], {"sensor_id": 5}]:
+        place = r.get("location")
+        wanted.append(tuple((place and Row(**place)) if n == "location" else r.get(n) for n in names))
+    assert found == sorted(wanted, key=repr)
+
+
+def test_an_array_is_read_by_many_tasks(spark, tmp_path):
+    from sensorloom.sources import read_json_array
+
+    (tmp_path / "a.json").write_text(json.dumps(_odd_readings(4_000), indent=2))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 100_000)
+    try:
+        from sensorloom.sources.json_arrays import json_elements
+
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 10
+        assert json_elements(spark, str(tmp_path)).count() == 4_000
+        assert read_json_array(spark, str(tmp_path)).agg({"sensor_id": "sum"}).first()[0] == sum(range(4_000))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_json_lines(spark, sample, json_lines):
     df = read_json(spark, json_lines)
     assert df.schema == READING
