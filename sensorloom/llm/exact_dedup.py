@@ -14,7 +14,7 @@ their merged heads may be broadcast.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorloom.llm.frames import stored, text_of
+from sensorloom.llm.frames import stored, text_of, whole_row
 
 HOT_SHARE = 1_000
 MIN_HOT = 500
@@ -50,9 +50,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, with all their columns. Nulls and ties as in `exact_groups`."""
-    packed = docs.select(
-        F.col(id_col).alias("_id"), text_of(text_col).alias("_text"), F.struct(*docs.columns).alias("_row")
-    )
+    packed = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text"), whole_row(docs).alias("_row"))
     return _runs(packed).where("_kept").select("_row.*")
 
 

@@ -14,6 +14,16 @@ def text_of(column: str):
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def quoted(name: str) -> str:
+    """A column's name as Spark takes it, whatever characters it holds."""
+    return f"`{name.replace('`', '``')}`"
+
+
+def whole_row(df: DataFrame):
+    """All columns as one struct: beside it, columns of our own clash with none of them."""
+    return F.struct(*(F.col(quoted(c)).alias(c) for c in df.columns))
+
+
 def stored(df: DataFrame, path: str | None = None) -> DataFrame:
     """The frame written as Parquet to the shared folder and read back: lineage ends here, and what reads it more than
     once computes it once."""

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorloom.llm.components import components
-from sensorloom.llm.frames import stored, text_of
+from sensorloom.llm.frames import quoted, stored, text_of
 
 SHINGLE = 5
 PERCENT = 85
@@ -131,7 +131,7 @@ def drop_near_copies(
     stay; repeated rows of the identifier that stays do, too."""
     found = near_duplicates(docs, id_col, text_col, percent, n_bands, n_rows)
     gone = found.where("not kept").select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(gone.hint("merge"), id_col, "left_anti").select(*docs.columns)
+    return docs.join(gone.hint("merge"), id_col, "left_anti").select(*map(quoted, docs.columns))
 
 
 def _kind(df: DataFrame) -> str:
@@ -155,10 +155,9 @@ def _stars(members: DataFrame) -> DataFrame:
     shared = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("a"), F.max("id").alias("b"))
     shared = stored(members.join(shared.where("a < b").select("bucket", "n"), "bucket"))
     company = shared.groupBy("id").agg(F.sum("n").alias("company"))
-    ranked = shared.join(company, "id").groupBy("bucket").agg(
-        F.max(F.struct("company", (-F.col("id")).alias("minus"))).alias("first")
-    )
-    centers = ranked.select("bucket", (-F.col("first.minus")).alias("center"))
+    # Of members in equal company, the one with the smallest identifier, of whatever type.
+    ranked = shared.join(company, "id").groupBy("bucket").agg(F.min(F.struct(-F.col("company"), "id")).alias("first"))
+    centers = ranked.select("bucket", F.col("first.id").alias("center"))
     return shared.join(centers, "bucket").where("id <> center").select("center", "id").distinct()
 
 

@@ -21,7 +21,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from sensorloom.llm.frames import text_of
 
@@ -216,7 +215,9 @@ def keep_good(docs: DataFrame, forest: Forest | None, text_col: str = "text") ->
                 _, failed, score = _verdicts(part.column(at), forest)
                 yield part.filter(pa.array(~failed & (score <= (forest.threshold if forest else np.inf))))
 
-    return docs.mapInArrow(run, StructType(docs.schema.fields))
+    # Under plain names meanwhile, as those of other columns may hold any character.
+    plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
 
 
 def measured_rows(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -15,7 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorloom.llm.frames import text_of
+from sensorloom.llm.frames import quoted, text_of, whole_row
 
 # The rules, in the order in which spans at one place are listed. Kind to pattern; the lengths that a
 # match has to reach are part of the pattern, but for `assign`, where a short value uses up its text all the same.
@@ -57,17 +57,16 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def redacted(docs: DataFrame, text_col: str = "text", mask: str = "[secret]") -> DataFrame:
     """The table with every span of the text, overlapping ones as one, replaced by `mask`; `n_chars`, where there is such
     a column, follows. A null text stays null."""
-    text = F.col(text_col)
-    spans = _ranked(F.coalesce(text, F.lit("")))
-    marked = docs.withColumn("_spans", spans)
-    clean = F.when(F.size("_spans") == 0, text).otherwise(_without(text, F.col("_spans"), mask))
-    marked = marked.withColumn("_clean", clean)
-    columns = [F.col("_clean").alias(c) if c == text_col else F.col(c) for c in docs.columns]
-    if "n_chars" in docs.columns:
+    text = F.col(quoted(text_col))
+    packed = docs.select(whole_row(docs).alias("row"), text.alias("text"), _ranked(F.coalesce(text, F.lit(""))).alias("spans"))
+    clean = F.when(F.size("spans") == 0, F.col("text")).otherwise(_without(F.col("text"), F.col("spans"), mask))
+    packed = packed.withColumn("clean", clean)
+    columns = {c: F.col("row").getField(c) for c in docs.columns}
+    columns[text_col] = F.col("clean")
+    if "n_chars" in columns and text_col != "n_chars":
         kind = docs.schema["n_chars"].dataType
-        length = F.when(F.size("_spans") == 0, F.col("n_chars")).otherwise(F.length("_clean").cast(kind))
-        columns[docs.columns.index("n_chars")] = length.alias("n_chars")
-    return marked.select(*columns)
+        columns["n_chars"] = F.when(F.size("spans") == 0, columns["n_chars"]).otherwise(F.length("clean").cast(kind))
+    return packed.select(*(column.alias(c) for c, column in columns.items()))
 
 
 def digests(spans: DataFrame) -> DataFrame:
