@@ -1,7 +1,8 @@
 """From raw documents to packed sequences: each stage works on all that the one before it kept.
 
 Every stage takes (spark, docs, sf_dir) and returns a table; all but the last return the columns of `documents`. Between
-stages the table is written to the shared folder and read again, so a lost executor repeats one stage at most.
+stages the table is written to the shared folder and read again, so a lost executor repeats one stage at most. Columns
+beyond those of `documents` go along, whatever their names; an empty table passes through all stages.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,27 +12,31 @@ from sensorloom.llm.frames import stored, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail the rules, or that the forest calls anomalies, go."""
+    """Documents that fail the rules, or that the forest calls anomalies, go: null, empty and blank texts among them.
+    Repeated rows and null identifiers are judged like others."""
     return quality.keep_good(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the document with the smallest identifier stays."""
+    """Of equal texts, the document with the smallest identifier stays; of rows that share that, too, one. A null text is the
+    empty one; a null identifier stays only where no row with the text has one."""
     return exact_dedup.drop_exact_copies(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates, the document with the smallest identifier stays."""
+    """Of each group of near duplicates, the document with the smallest identifier stays, in all its rows. Null and blank
+    texts, and rows with a null identifier, are near to nothing and stay."""
     return near_dedup.drop_near_copies(docs)
 
 
 def secret_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are masked; their documents stay."""
+    """Secrets are masked, and `n_chars` follows; their documents stay. A null text stays null."""
     return secrets.redacted(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences."""
+    """Pieces of documents in sequences. A null text is empty: its document is one end token; repeated rows and null
+    identifiers are documents of their own."""
     return packing.pack(docs, entry.tokenizer("byte_bpe_50k.json"))
 
 
