@@ -119,7 +119,8 @@ def secret_scan() -> str:
     """Places from the lengths of gaps and matches; entropy window by window."""
     patterns = [*secrets.RULES.values(), secrets.CANDIDATE]
     found = " UNION ALL ".join(_found(i, p, 1 if i == 0 else 0) for i, p in enumerate(patterns))
-    hexadecimal, mixed = (bits for _, bits in secrets.CLASSES.values())
+    fits = lambda patterns: " AND ".join(f"regexp_matches(v, '{p}')" for p in patterns)
+    least = " ".join(f"WHEN {fits(patterns)} THEN {bits}" for patterns, bits in secrets.CLASSES.values())
     window, kinds = secrets.WINDOW, ", ".join(f"'{k}'" for k in secrets.KINDS)
     text = lambda condition: f"""coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank, e)
     FILTER ({condition}), '')"""
@@ -132,8 +133,7 @@ p AS (
     + coalesce(list_sum([length(x) for x in found[1:i - 1]]), 0) AS s FROM i),
 base AS (SELECT doc_id, rank, s, s + n AS e FROM p WHERE rank < 3 AND (rank > 0 OR length(v) >= {secrets.MIN_VALUE})),
 cand AS (
-  SELECT *, CASE WHEN v SIMILAR TO '[0-9a-fA-F]+' AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[a-fA-F]') THEN {hexadecimal}
-    WHEN regexp_matches(v, '[0-9]') AND regexp_matches(v, '[a-z]') AND regexp_matches(v, '[A-Z]') THEN {mixed} END AS least
+  SELECT *, CASE {least} END AS least
   FROM p WHERE rank = 3 AND NOT regexp_matches(v, '{secrets.ALLOWED}')
     AND NOT EXISTS (FROM base AS b WHERE b.doc_id = p.doc_id AND b.s < p.s + p.n AND b.e > p.s)),
 wins AS (SELECT doc_id, s, v, least, unnest(range(1, n - {window - 2})) AS k FROM cand WHERE least IS NOT NULL),

@@ -10,7 +10,9 @@ first window above its class's threshold to the end of the last. Candidates that
 allow-list (UUIDs, checksums that say so, placeholders), are not reported.
 """
 
+import functools
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,17 +31,26 @@ KINDS = [*RULES, "entropy"]
 
 WINDOW = 20
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
-# Class to (what a candidate of the class matches, bits per character a window must reach). A window of 20 holds 4.32
-# bits at most. Texts without digits or without letters are words or numbers, and in no class.
+# Class to (what a candidate of the class matches, all of it; bits per character a window must reach); the first that fits
+# counts. A window of 20 holds 4.32 bits at most. Runs of words with marks between them, and names put together from
+# words, are in no class: keys without upper case, without lower case or without digits have to look the part.
 CLASSES = {
-    "hex": (r"^(?=[^0-9]*[0-9])(?=[^a-fA-F]*[a-fA-F])[0-9a-fA-F]+$", 3.0),
-    "base64": (r"^(?=[^0-9]*[0-9])(?=[^a-z]*[a-z])(?=[^A-Z]*[A-Z]).+$", 3.7),
+    "hex": (("^[0-9a-fA-F]+$", "[0-9]", "[a-fA-F]"), 3.0),
+    "base64": (("[0-9]", "[a-z]", "[A-Z]"), 3.7),
+    "lower": (("^[0-9a-z]+$", "([0-9][^0-9]*){3}", "[a-z]"), 3.5),
+    "upper": (("^[0-9A-Z]+$", "([0-9][^0-9]*){2}", "[A-Z]"), 3.4),
+    "letters": (("^[a-zA-Z]+$", "^[A-Z]*([a-z]+[A-Z]+){4}"), 3.9),
 }
 ALLOWED = (
     r"(?i)example|sample|dummy|placeholder|changeme|xxxx|0000000"
     r"|[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}|^sha(1|256|384|512)-"
 )
 
+# Counts of a window in numbers of 64 bits, five bits each.
+_BITS, _PER_NUMBER = 5, 12
+# Code points of a block of text.
+_BLOCK = 1_024
+
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _SPAN = "array<struct<start:int,rank:int,end:int>>"
 
@@ -122,25 +133,42 @@ def _matches(text: Column, pattern: str, group: int) -> Column:
             F.length(before).alias("gap"), F.length(m["whole"]).alias("length"), m["value"].alias("value")
         ),
     )
-    none = F.array().cast("array<struct<start:int,end:int,value:string>>")
-    placed = F.aggregate(
-        parts,
-        F.struct(F.lit(0).alias("at"), none.alias("found")),
-        lambda state, p: F.struct(
-            (state["at"] + p["gap"] + p["length"]).alias("at"),
-            F.concat(
-                state["found"],
-                F.array(
-                    F.struct(
-                        (state["at"] + p["gap"]).alias("start"),
-                        (state["at"] + p["gap"] + p["length"]).alias("end"),
-                        p["value"].alias("value"),
-                    )
-                ),
-            ).alias("found"),
-        ),
+    lengths = lambda parts: F.transform(parts, lambda p: p["gap"] + p["length"])
+    placed = lambda p, at: F.struct(
+        (at + p["gap"]).alias("start"), (at + p["gap"] + p["length"]).alias("end"), p["value"].alias("value")
     )
-    return placed["found"]
+    return _let(parts, lambda p: F.zip_with(p, _running(lengths(p), lambda x, y: x + y), placed))
+
+
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """`then` of a value that is computed once, however often it is named."""
+    return F.transform(F.array(value), then)[0]
+
+
+def _running(values: Column, merge: Callable[[Column, Column], Column]) -> Column:
+    """What `merge`, of two integers, makes of all values before each, from 0 on. An array grows by copying, so it is done in
+    groups: with as many groups as a group has values, the copying of `n` values is `n` to the power of 1.5."""
+
+    def small(array: Column, begin: Column) -> Column:
+        none = F.array().cast("array<int>")
+        return F.aggregate(
+            array,
+            F.struct(begin.alias("total"), none.alias("before")),
+            lambda state, x: F.struct(
+                merge(state["total"], x).alias("total"), F.concat(state["before"], F.array(state["total"])).alias("before")
+            ),
+            lambda state: state["before"],
+        )
+
+    def grouped(array: Column) -> Column:
+        size = F.greatest(F.ceil(F.sqrt(F.size(array))), F.lit(1)).cast("int")
+        last = F.floor(F.greatest(F.size(array) - 1, F.lit(0)) / size).cast("int")
+        return _let(size, lambda n: F.transform(F.sequence(F.lit(0), last), lambda j: F.slice(array, j * n + 1, n)))
+
+    zero = F.lit(0)
+    totals = lambda groups: F.transform(groups, lambda g: F.aggregate(g, zero, merge))
+    by_group = lambda groups: F.flatten(F.zip_with(groups, small(totals(groups), zero), small))
+    return _let(values, lambda array: _let(grouped(array), by_group))
 
 
 def _entropy_spans(text: Column, rules: Column) -> Column:
@@ -164,8 +192,9 @@ def _entropy_spans(text: Column, rules: Column) -> Column:
 
 def _threshold(value: Column) -> Column:
     bits = F.lit(None).cast("double")
-    for pattern, least in reversed(CLASSES.values()):
-        bits = F.when(value.rlike(pattern), F.lit(least)).otherwise(bits)
+    for patterns, least in reversed(CLASSES.values()):
+        fits = functools.reduce(Column.__and__, (value.rlike(pattern) for pattern in patterns))
+        bits = F.when(fits, F.lit(least)).otherwise(bits)
     return bits
 
 
@@ -180,10 +209,18 @@ def _noisy(value: Column, least: Column) -> Column:
         lambda entering, leaving: F.struct(entering.alias("entering"), leaving.alias("leaving")),
     )
 
+    place = lambda code: ((code - 1) / _PER_NUMBER).cast("int")
+    shift = lambda code: (code - 1) % _PER_NUMBER * _BITS
+    one = lambda code: F.call_function("shiftleft", F.lit(1).cast("bigint"), shift(code))
+
+    def count(state, code):
+        number = F.coalesce(F.get(state["counts"], place(code)), F.lit(0).cast("bigint"))
+        return F.call_function("shiftright", number, shift(code)).bitwiseAND(F.lit((1 << _BITS) - 1)).cast("int")
+
     def step(state, move):
         leaving, entering = move["leaving"], move["entering"]
-        left = F.get(state["counts"], leaving)
-        there = F.get(state["counts"], entering) - F.when(leaving == entering, 1).otherwise(0)
+        left = count(state, leaving)
+        there = count(state, entering) - F.when(leaving == entering, 1).otherwise(0)
         total = (
             state["total"]
             - F.when(leaving > 0, of(left) - of(left - 1)).otherwise(F.lit(0.0))
@@ -192,9 +229,9 @@ def _noisy(value: Column, least: Column) -> Column:
         )
         counts = F.transform(
             state["counts"],
-            lambda count, code: count
-            + F.when(code == entering, 1).otherwise(0)
-            - F.when((code == leaving) & (leaving > 0), 1).otherwise(0),
+            lambda number, at: number
+            + F.when(at == place(entering), one(entering)).otherwise(0)
+            - F.when((leaving > 0) & (at == place(leaving)), one(leaving)).otherwise(0),
         )
         at = state["at"] + 1
         high = (at >= WINDOW) & (F.lit(math.log2(WINDOW)) - total / WINDOW >= least)
@@ -208,7 +245,7 @@ def _noisy(value: Column, least: Column) -> Column:
 
     start = F.struct(
         F.lit(0).alias("at"),
-        F.array_repeat(F.lit(0), len(_ALPHABET) + 1).alias("counts"),
+        F.array_repeat(F.lit(0).cast("bigint"), -(-len(_ALPHABET) // _PER_NUMBER)).alias("counts"),
         F.lit(0.0).alias("total"),
         F.lit(0).alias("first"),
         F.lit(0).alias("last"),
@@ -217,22 +254,25 @@ def _noisy(value: Column, least: Column) -> Column:
 
 
 def _without(text: Column, spans: Column, mask: str) -> Column:
-    """The text between the spans, with one mask for each stretch of overlapping or touching ones."""
-    done = F.aggregate(
-        spans,
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts")),
-        lambda state, s: F.struct(
-            F.greatest(state["at"], s["end"]).alias("at"),
-            F.when(
-                (s["start"] > state["at"]) | (F.size(state["parts"]) == 0),
-                F.concat(
-                    state["parts"],
-                    F.array(F.substring(text, state["at"] + 1, s["start"] - state["at"]), F.lit(mask)),
-                ),
-            )
-            .otherwise(state["parts"])
-            .alias("parts"),
-        ),
-        lambda state: F.concat(F.array_join(state["parts"], ""), F.substring(text, state["at"] + 1, F.length(text))),
-    )
-    return done
+    """The text between the spans, with one mask for each stretch of overlapping or touching ones. Text is cut from blocks, so
+    a cut does not count from the text's beginning."""
+
+    def cut(blocks: Column, begin: Column, end: Column) -> Column:
+        first, last = (begin / _BLOCK).cast("int"), (F.greatest(end - 1, F.lit(0)) / _BLOCK).cast("int")
+        head = F.substring(F.get(blocks, first), begin % _BLOCK + 1, F.least(end - begin, F.lit(_BLOCK)))
+        inner = F.array_join(F.slice(blocks, first + 2, F.greatest(last - first - 1, F.lit(0))), "")
+        tail = F.when(last > first, F.substring(F.get(blocks, last), F.lit(1), end - last * _BLOCK)).otherwise("")
+        return F.when(end > begin, F.concat(head, inner, tail)).otherwise("")
+
+    def joined(blocks: Column) -> Column:
+        # A span that begins where others have reached belongs to their stretch.
+        reached = _running(F.transform(spans, lambda s: s["end"]), lambda x, y: F.greatest(x, y))
+        before = F.zip_with(
+            spans,
+            reached,
+            lambda s, at: F.when((s["start"] > at) | (at == 0), F.concat(cut(blocks, at, s["start"]), F.lit(mask))).otherwise(""),
+        )
+        end = F.array_max(F.transform(spans, lambda s: s["end"]))
+        return F.concat(F.array_join(before, ""), cut(blocks, end, F.length(text)))
+
+    return _let(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_BLOCK}}}"), F.lit(0)), joined)

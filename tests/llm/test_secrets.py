@@ -24,7 +24,7 @@ def brute(text):
     added = []
     for m in re.finditer("[A-Za-z0-9+/_=-]{20,}", text):
         value = m[0]
-        least = next((bits for pattern, bits in secrets.CLASSES.values() if re.search(pattern, value)), None)
+        least = next((bits for found, bits in secrets.CLASSES.values() if all(re.search(p, value) for p in found)), None)
         if least is None or re.search(secrets.ALLOWED, value):
             continue
         if any(s < m.end() and e > m.start() for s, _, e in base):
@@ -91,6 +91,39 @@ def test_sql_against_brute_force():
         assert got[i] == brute(text), text
 
 
+KEYS = ["k3j9x0q7z5m2w8v4t6r1pba", "JBSWY3DPEHPK3PXPQ7RTNLVK", "qWmXeZrTbYuVnIoCpKaLsJdH"]
+
+
+@pytest.mark.parametrize("key", KEYS)
+def test_keys_of_few_kinds_of_characters(spark, key):
+    (row,) = scan(spark, [(1, f"see {key} there", "x", 1)]).collect()
+    assert row["n_entropy"] == 1 and row["spans"].startswith("entropy:4:")
+
+
+@pytest.mark.parametrize(
+    "text", ["getElementsByClassName", "articles/2019/some-title-of-words", "internationalization", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "20190101120000123456789"]
+)
+def test_names_paths_and_numbers_are_no_keys(spark, text):
+    (row,) = scan(spark, [(1, f"see {text} there", "x", 1)]).collect()
+    assert row["n_entropy"] == 0
+
+
+def test_many_matches_and_long_runs_take_little_time(spark):
+    import time
+
+    rng = random.Random(2)
+    noise = "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=30_000))
+    many = "token=abcdef " * 50_000
+    df = spark.createDataFrame([(1, many, "x", 1), (2, noise, "x", 1)], "doc_id bigint, text string, spans string, start int")
+    began = time.time()
+    rows = {row["doc_id"]: row for row in secrets.digests(secrets.secret_spans(df)).collect()}
+    assert rows[1]["n_assign"] == 50_000 and rows[1]["spans"].endswith("assign:649987:649999")
+    assert rows[2]["spans"] == "entropy:0:30000"
+    (text,) = [row["text"] for row in secrets.redacted(df).where("doc_id = 1").collect()]
+    assert text == "[secret] " * 50_000
+    assert time.time() - began < 60
+
+
 def test_null_identifiers_repeated_rows_and_empty_tables(spark):
     rows = [(None, "token=abcdef", None, None), (1, "x", None, None), (1, "x", None, None)]
     assert [row[:2] for row in tuples(scan(spark, rows))] == [(1, 0), (1, 0), (None, 1)]
