@@ -110,17 +110,73 @@ def test_rare_layouts_and_empty_slots_of_a_host(spark):
     assert got[200] == "Story 0" and got[201] == ("Long text " * 9).strip()
 
 
-def test_equal_vectors_make_a_class_and_rare_paths_none():
-    import pandas as pd
-
-    rows = [("", 100, 0, 0), ("/html", 100, 1, 90), ("/html/body", 100, 1, 90), ("/html/body/div", 100, 1, 70)]
-    rows += [("/html/body/section.x", 3, 2, 900), ("/html/body/nav", 100, 1, 5), ("/html/body/div/div", 100, 9, 60)]
-    frame = pd.DataFrame(rows, columns=["path", "pages", "vector", "chars"])
-    # A path alone in its class is not part of the template; of slots with most of the text, the innermost comes first.
-    assert html_extract.template(frame) == ["/html/body/div", "/html/body"]
-
-
-# ---------------------------------------------------------------------------------------------------------------------
+def _hand_templates(rows):
+    """Per host the blocks whose text is on every page that has the block, three pages or more, not all of them copies: every
+    token with the list of its pages."""
+    from collections import defaultdict
+
+    tokens = defaultdict(lambda: defaultdict(list))
+    for page, url, source in rows:
+        for path, (times, _, text) in html_extract.outline(html_extract.page_events(source)).items():
+            tokens[html_extract.host_of(url), path][text].append((page, source, times))
+    fixed = defaultdict(set)
+    for (host, path), texts in tokens.items():
+        pages = [p for found in texts.values() for p in found]
+        if len(texts) == 1 and None not in texts and len(pages) >= 3 and len({source for _, source, _ in pages}) > 1:
+            fixed[host].add(path)
+    return fixed
+
+
+def test_texts_in_the_class_of_their_block_are_template(spark):
+    """Layouts in which nothing is named: only the host's other pages tell boilerplate from text."""
+    layout = (
+        "<body><div class=q1>Our slogan</div><div class=q2><p>{a}</p></div><div class=q3>All {n} offers</div>"
+        "<div class=q4><p>{b}</p><p>Always here</p></div><div class=q5>Imprint &amp; terms</div></body>"
+    )
+    rng = random.Random(3)
+    words = ["alpha", "beta", "gamma", "delta", "omega"]
+    say = lambda: " ".join(rng.choice(words) for _ in range(12))
+    rows = [(i, "http://un.named/", layout.format(a=say(), b=say(), n=i)) for i in range(12)]
+    rows += [(100 + i, "http://un.named/", f"<body><div class=rare>Hello</div><div class=rest><p>{say()}</p></div></body>") for i in range(3)]
+    rows += [(200 + i, "http://copies/", rows[0][2]) for i in range(5)]
+    rows += [(300, "http://alone/", rows[0][2])]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {row["page_id"]: row["text"] for row in html_extract.main_text(df).collect()}
+    fixed = _hand_templates(rows)
+    assert {p.rpartition(".")[2] for p in fixed["un.named"]} == {"q1", "q3", "q5", "rare"} and not fixed["copies"]
+    for page, url, source in rows:
+        assert got[page] == html_extract.text_in(source, [], fixed[html_extract.host_of(url)]), page
+    # Lead and rest stay, of whatever share; the template decides, as a page alone keeps all.
+    assert got[0].count("\n") == 2 and got[0].endswith("Always here")
+    assert got[300].startswith("Our slogan") and got[200] == got[300]
+    assert "Hello" not in got[100] and got[100]
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        '<section id="related-work"><p>Kept</p></section>',
+        '<table class="share-prices"><tr><td>Kept</td></tr></table>',
+        '<div class="search-results-analysis">Kept</div>',
+        '<div class="promotion-criteria">Kept</div>',
+    ],
+)
+def test_sections_about_something_stay(part):
+    assert html_extract.text_in(f"<body><article><p>One</p>{part}</article></body>", []) == "One\nKept"
+
+
+@pytest.mark.parametrize("name", ["related-posts", "share-buttons", "ad", "ad-box", "sidebar", "comment-list", "cookie-banner", "newsletter-form"])
+def test_furniture_goes(name):
+    for attribute in ("class", "id"):
+        assert html_extract.text_in(f"<body><article><p>One</p><div {attribute}={name}>No</div></article></body>", []) == "One"
+
+
+def test_equal_slots_and_clashing_names(spark):
+    page = "<body><div class=story><p>A</p></div><div class=entry><p>B</p></div></body>"
+    assert html_extract.text_in(page, []) == "B"  # the path that sorts first
+    df = spark.createDataFrame([(1, "http://a/", page)], "page_id bigint, url string, html string")
+    more = df.selectExpr("*", *(f"'x' as `{c}`" for c in ("slots", "fixed", "host", "path", "pages", "text", "a.b")))
+    assert [row["text"] for row in html_extract.main_text(more).collect()] == ["B"]
 
 
 def brute_rule(host, path):
