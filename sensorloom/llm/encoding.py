@@ -28,7 +28,7 @@ WORDS = 500_000
 # Bytes of the words and ids that a worker keeps, and characters of a word worth keeping.
 KEPT, KEPT_WORD = 1 << 26, 64
 # Characters of the texts that are looked up together.
-TOGETHER = 2_000_000
+TOGETHER = 8_000_000
 # Python's split() takes these for white space, the tokenizers do not.
 SEPARATORS = re.compile(r"[\x1c-\x1f]")
 _NOT_WORDS = "\x00\x02\x1c\x1d\x1e\x1f"
