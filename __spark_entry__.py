@@ -47,11 +47,14 @@ from sensorloom.sources import (  # noqa: E402
 )
 from sensorloom.sources.bronze import errors_path  # noqa: E402
 from sensorloom.streaming import (  # noqa: E402
+    closed_event_counts,
+    count_days,
     deliver_by_size_or_time,
     delivered_errors,
     ingest_bronze,
     ingest_errors,
     ingest_once,
+    missed_event_counts,
     read_delivered,
 )
 from sensorloom.workspace import fresh_database, fresh_directory  # noqa: E402
@@ -389,6 +392,28 @@ def _ingest_by_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(read_delivered(spark, bronze), F.col("day").cast("string").alias("day"))
 
 
+def _counted_days(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Closed days, and all readings that were sent: first all but those of `error` events before the newest day, then one
+    of this moment, which closes every day before, then the readings held back, all too late."""
+    source, counts, checkpoint = (fresh_directory(spark) for _ in range(3))
+    rows = with_day(readings(spark, sf_dir))
+    newest = rows.agg(F.max("day")).first()[0]
+    late = (F.col("event_type") == "error") & (F.col("day") < newest)
+    now = rows.limit(1).withColumns({"event_type": F.lit("closing"), "timestamp": F.unix_timestamp()})
+    for sent in (rows.where(~late), now, rows.where(late)):
+        _json_text(sent.drop("day")).write.mode("append").text(source)
+        count_days(spark, source, counts, checkpoint, {"availableNow": True}).awaitTermination()
+    return closed_event_counts(spark, counts), rows
+
+
+def _streamed_event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _counted_days(spark, sf_dir)[0]
+
+
+def _streamed_late_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return missed_event_counts(*_counted_days(spark, sf_dir))
+
+
 # ---------------------------------------------------------------------------------------------------------------------
 # Jobs
 
@@ -496,6 +521,8 @@ def _own_queries() -> dict[str, Query]:
         "ingest_once_errors": _ingest_once_errors,
         "ingest_resent": _ingest_resent,
         "ingest_by_size": _ingest_by_size,
+        "streamed_event_counts": _streamed_event_counts,
+        "streamed_late_counts": _streamed_late_counts,
         "incremental_event_counts": _incremental(increments.event_counts),
         "incremental_temp_humidity": _incremental(_incremental_temp_humidity),
         "job_scorecard": _job_scorecard,
@@ -670,6 +697,10 @@ def oracle_sql() -> dict[str, str]:
         "ingest_once_errors": _errors(),
         "ingest_resent": _resent(),
         "ingest_by_size": flat_with_day,
+        "streamed_event_counts": f"""{_EVENT_COUNTS}
+            HAVING event_type <> 'error' OR "day" = (SELECT max("day") FROM r)""",
+        "streamed_late_counts": """SELECT "day", event_type, count(*) AS missed FROM r
+            WHERE event_type = 'error' AND "day" < (SELECT max("day") FROM r) GROUP BY "day", event_type""",
         "incremental_event_counts": _EVENT_COUNTS,
         "incremental_temp_humidity": _TEMP_HUMIDITY,
         "job_sensor_health": _SENSOR_HEALTH,
