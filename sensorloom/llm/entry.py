@@ -133,6 +133,7 @@ def oracle_sql() -> dict[str, str]:
         "op1_secrets": oracles.secret_scan(),
         "op4_exact_dedup": oracles.EXACT_DEDUP,
         "op6_near_dedup": oracles.NEAR_DEDUP,
+        "op7_licenses": oracles.license_scan(),
         "op11_filter_audit": oracles.FILTER_AUDIT,
         "op12_phrases": oracles.PHRASES,
         "op13_near_vectors": oracles.NEAR_VECTORS,

@@ -1,6 +1,6 @@
 """The operators that SQL can express, for DuckDB."""
 
-from sensorloom.llm import secrets
+from sensorloom.llm import licenses, secrets
 
 EXACT_DEDUP = r"""
 WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents),
@@ -146,3 +146,39 @@ SELECT doc_id, count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1
   sha256({text("rank < 3")}) AS base_sha256, {text("rank IS NOT NULL")} AS spans, count(*) FILTER (rank = 3) AS n_entropy
 FROM d LEFT JOIN named USING (doc_id) GROUP BY doc_id
 """
+
+
+def license_scan() -> str:
+    """Pieces end with chr(2) and start with chr(1), so that neighbours share no mark."""
+    gap = r"(?: |\x02\x01)"
+    rows = lambda pairs: ", ".join(f"({i}, '{a}', '{b}')" for i, (a, b) in enumerate(pairs))
+    rules = rows((name, "," + ",".join(ids) + ",") for name, ids in licenses.RULES)
+    return rf"""
+WITH RECURSIVE rules(i, name, sequence) AS (VALUES {rules}),
+known(i, sentence, id) AS (VALUES {rows(licenses.known().items())}),
+book AS (SELECT map(list(sentence), list(id)) AS ids FROM known),
+l AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER () AS n FROM documents),
+g AS (SELECT * FROM l WHERE regexp_matches(t, '{licenses.MENTIONS}')),
+a AS (
+  SELECT n, array_to_string([CASE WHEN contains(x, 'SPDX-License-Identifier:') THEN regexp_replace(
+    regexp_replace(x, '([0-9])\+', '\1-or-later', 'g'), '\x20+(?:OR|AND|WITH)\x20+', chr(10) || 'SPDX-License-Identifier: ', 'g')
+    ELSE x END for x in string_split(t, chr(10))], chr(10)) AS t FROM g),
+b AS (SELECT n, regexp_replace(lower(t), '\n[\x20\x09-\x0D]*\n[\x20\x09-\x0D]*', chr(10) || chr(10), 'g') AS t FROM a),
+c AS (SELECT n, regexp_replace(t, '[\x20\x09\x0B-\x0D]+\n', chr(10), 'g') AS t FROM b),
+d AS (SELECT n, regexp_replace(t, '([.;:!?])[\x20\x09\x0B-\x0D]+', '\1' || chr(10), 'g') AS t FROM c),
+e AS (SELECT n, regexp_replace(t, '[^\p{{L}}\p{{N}}\n]+', ' ', 'g') AS t FROM d),
+p AS (SELECT n, [trim(x, ' ') for x in string_split(t, chr(10))] AS p FROM e),
+j AS (SELECT n, chr(1) || array_to_string(p, chr(2) || chr(1)) || chr(2) AS t FROM p),
+f AS (SELECT n, regexp_extract_all(t, '\x01({licenses.either(gap)})\x02', 1) AS found FROM j),
+k AS (SELECT n, [ids[regexp_replace(replace(x, chr(2) || chr(1), ' '), '^{licenses.opening()}', '{licenses.OPENING}')] for x in found] AS ids FROM f, book WHERE len(found) > 0),
+m AS (
+  SELECT n, -1 AS i, ',' || array_to_string(ids, ',') || ',' AS rest, [] :: VARCHAR[] AS names FROM k UNION ALL
+  SELECT n, r.i, replace(replace(rest, sequence, ',-,'), sequence, ',-,'),
+    CASE WHEN contains(rest, sequence) AND NOT list_contains(names, name) THEN list_append(names, name) ELSE names END
+  FROM m JOIN rules AS r ON r.i = m.i + 1),
+z AS (SELECT * FROM m WHERE i = {len(licenses.RULES) - 1})
+SELECT doc_id, coalesce(array_to_string(ids, ','), '') AS sentence_ids, coalesce(array_to_string(names, ','), '') AS licenses,
+  coalesce(len(ids), 0) :: BIGINT AS n_sentences,
+  coalesce(len([x for x in string_split(rest, ',') if x NOT IN ('', '-')]), 0) :: BIGINT AS n_unmatched
+FROM l LEFT JOIN k USING (n) LEFT JOIN z USING (n)
+"""

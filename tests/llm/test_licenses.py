@@ -82,3 +82,60 @@ def test_every_known_sentence_and_rule_is_found_in_any_wrapping(spark):
 def test_a_sentence_is_whole_pieces_of_one_paragraph(spark):
     texts = ["Not released under the MIT License.", "Released under the MIT License of old.", "All rights\n\nreserved.", "All\nrights"]
     assert [row["sentence_ids"] for row in scan(spark, [(i, t, 1) for i, t in enumerate(texts)]).collect()] == [""] * 4
+
+
+@pytest.mark.parametrize("name", licenses.SPDX)
+def test_every_tag_has_a_rule(name):
+    assert (name, [f"spdx:{name}"]) in licenses.RULES and licenses.known()[licenses._plain(f"SPDX-License-Identifier: {name}")] == f"spdx:{name}"
+
+
+# Titles, tags and short forms of common licenses.
+COMMON = {
+    "// SPDX-License-Identifier: MIT": "MIT",
+    "x\n/* SPDX-License-Identifier: (MIT OR Apache-2.0) */\ny": "MIT,Apache-2.0",
+    "# SPDX-License-Identifier: GPL-2.0+ WITH Classpath-exception-2.0": "GPL-2.0-or-later",
+    "SPDX-License-Identifier: LGPL-2.1": "LGPL-2.1-only",
+    "SPDX-License-Identifier: MITX\nspdx-license-identifier: isc": "ISC",
+    "GNU GENERAL PUBLIC LICENSE\n   Version 3, 29 June 2007": "GPL-3.0",
+    "Mozilla Public License Version 2.0\n====": "MPL-2.0",
+    "  Apache License\n  Version 2.0, January 2004\n  http://www.apache.org/licenses/": "Apache-2.0",
+    "Eclipse Public License - v 2.0": "EPL-2.0",
+    "CC0 1.0 Universal": "CC0-1.0",
+    "This is free and unencumbered software released into the public domain.": "Unlicense",
+    "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public\n"
+    "License as published by the Free Software Foundation; either\nversion 3 of the License, or (at your option) any later version.": "LGPL-3.0-or-later",
+    "This project is released\nunder the BSD 3-Clause License.": "BSD-3-Clause",
+    "The code is available under a Creative Commons Attribution-ShareAlike 4.0 International License.": "CC-BY-SA-4.0",
+    "This program is licensed under\n\nthe MIT License": "",
+    "Never released under the GPLv3 license.": "",
+}
+
+
+def test_common_licenses(spark):
+    got = {r["doc_id"]: r["licenses"] for r in scan(spark, [(i, t, 1) for i, t in enumerate(COMMON)]).collect()}
+    assert [got[i] for i in range(len(COMMON))] == list(COMMON.values())
+
+
+def test_the_sql_sees_what_the_scan_sees(spark):
+    """On all the texts above, known sentences run together in random order, wrapped at random, and marks between."""
+    import random
+
+    import duckdb
+    import pyarrow as pa
+
+    from sensorloom.llm import oracles
+
+    rng = random.Random(8)
+    known = [" ".join(s.split()) for _, s in licenses.SENTENCES]
+    texts = [*TEXTS, *COMMON]
+    for _ in range(400):
+        words = " ".join(rng.choice([*known, "Some words.", "x:"]) + rng.choice(["", ".", ";"]) for _ in range(rng.randrange(1, 9))).split(" ")
+        texts.append("".join(w + rng.choice([" "] * 12 + ["\n", " \n", "\r\n# ", "\n \n", "  ", "\t"]) for w in words))
+    rows = [(i, t, 1) for i, t in enumerate(texts)]
+    documents = pa.table({"doc_id": [i for i, *_ in rows], "text": texts})  # noqa: F841
+    result = duckdb.sql(oracles.license_scan())
+    order = [result.columns.index(c) for c in ("doc_id", "sentence_ids", "licenses", "n_sentences", "n_unmatched")]
+    wanted = sorted(tuple(row[i] for i in order) for row in result.fetchall())
+    got = sorted(tuple(r) for r in scan(spark, rows).collect())
+    assert [(g, w, texts[g[0]]) for g, w in zip(got, wanted) if g != w][:2] == []
+    assert sum(bool(row[2]) for row in got) > 100
