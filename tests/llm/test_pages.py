@@ -239,3 +239,97 @@ def test_null_identifiers_repeated_rows_and_empty_urls(spark):
     df = spark.createDataFrame([(None, None), (1, "http://a.net"), (1, "http://a.net")], "page_id bigint, url string")
     assert tuples(url_filter.judged_urls(df).select("page_id", "verdict")) == [(1, "allow"), (1, "allow"), (None, "allow")]
     assert url_filter.judged_urls(df.where("page_id > 5")).collect() == []
+
+
+def brute_judged(urls, weight_of=None):
+    """Segmentation by trying every word, of any length, at every place; counts and scores by plain loops."""
+    from collections import Counter
+    from math import log
+
+    bad, good = (Counter(w for n in text.replace("\n", " ").split(",") for w in n.split()) for text in (url_filter.BLOCKED, url_filter.ALLOWED))
+    size = len(bad.keys() | good.keys())
+    odds = lambda c, w: log((c[w] + url_filter.SMOOTHING) / (sum(c.values()) + url_filter.SMOOTHING * size))
+    weight_of = weight_of or {w: odds(bad, w) - odds(good, w) for w in bad + good}
+    split = lambda t: [x for x in re.split(r"[\W\d_]+", t.lower()) if x]
+    parts = []
+    for url in urls:
+        found = re.match(r"(?s)^.*?://([^/?#]*)([^?#]*)", url or "")
+        host, path = (found[1].lower(), found[2]) if found else ("", "")
+        parts.append((host, path))
+    counts = Counter({w: 100 * n for w, n in (bad + good).items()})
+    for host, path in parts:
+        for label in host.split("."):
+            counts.update(split(label) if "-" in label else [])
+        counts.update(split(path))
+    total = sum(counts.values())
+
+    def chance(word):
+        n = counts.get(word, 0)
+        return log(n / total) if n else log(url_filter.UNKNOWN_RATE / total) - len(word) * log(url_filter.LETTER)
+
+    def words_of(name):
+        best = [(0.0, 0, [])]
+        for end in range(1, len(name) + 1):
+            best.append(max((best[s][0] + chance(name[s:end]), -s, best[s][2] + [name[s:end]]) for s in range(end)))
+        return best[-1][2]
+
+    for host, path in parts:
+        rule, verdict = brute_rule(host, path)
+        words = [words_of(t) for t in split(host) + split(path) if t not in url_filter.STOP]
+        score = url_filter.PRIOR + sum(weight_of.get(w, 0.0) for name in words for w in name)
+        shown = " ".join(sorted({" ".join(name) for name in words}))
+        yield rule, verdict or ("block" if score > 0 else "allow"), None if rule else shown, None if rule else score
+
+
+# Words longer than those that are looked up by all substrings.
+LONG = ["donaudampfschifffahrtsgesellschaft", "donaudampfschifffahrtskapitaen", "electroencephalographically"]
+
+
+@pytest.mark.parametrize("fitted", [False, True])
+def test_scores_against_brute_force(spark, fitted):
+    rng = random.Random(5)
+    words = ["casino", "win", "city", "library", "free", "x", "adult", "tion", "th", *LONG]
+    hosts = ["".join(rng.choice(words) for _ in range(rng.randrange(1, 4))) for _ in range(40)]
+    hosts += ["-".join(rng.choice(words) for _ in range(2)) for _ in range(10)] + ["blog.free-win", "m.example.xadult"]
+    ends = ["", "/", "/de/poker", "/donaudampfschifffahrtsgesellschaft/news", "/en/1.html?a=casino"]
+    urls = [f"https://{rng.choice(['', 'www.', 'Blog.'])}{h}.{rng.choice(['net', 'org', 'com', 'biz'])}{rng.choice(ends)}" for h in hosts]
+    urls += [None, "", "x", urls[0], "http://" + "casinowin" * 60 + ".net/" + "z" * 300]
+    weight_of = None
+    if fitted:
+        rows = [("http://tionth.net", True), ("http://tion.biz/th", True), ("http://citywin.net", False), (None, True), ("http://x.y", None)]
+        weight_of = url_filter.fit(spark.createDataFrame(rows, "url string, blocked boolean"))
+        assert weight_of["tion"] > 0 and weight_of["tionth"] > 0 and "x" in weight_of
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    got = {r["page_id"]: r for r in url_filter.judged_urls(df, weight_of=weight_of).collect()}
+    for i, (rule, verdict, shown, score) in enumerate(brute_judged(urls, weight_of)):
+        assert (got[i]["rule"], got[i]["verdict"]) == (rule, verdict), urls[i]
+        assert set((got[i]["words"] or "").split()) == set((shown or "").split()), urls[i]
+        assert got[i]["score"] == (score if score is None else pytest.approx(score)), urls[i]
+
+
+def test_names_that_only_their_words_tell(spark):
+    bad = ["viagrashop.biz", "gamblingpalace.net", "phishingbank.ru/login", "mp.download.net/warezz-warez", "blog.casino-win.net/x"]
+    good = ["blog.net", "example.net", "bookshop.biz", "citybank.net/login", "video.lessons.edu", "essexlibrary.net"]
+    df = spark.createDataFrame([(i, f"http://{u}") for i, u in enumerate(bad + good)], "page_id bigint, url string")
+    got = url_filter.judged_urls(df).collect()
+    assert {r["page_id"] for r in got if r["verdict"] == "block"} == set(range(len(bad)))
+
+
+def test_held_out_names():
+    """Each listed name judged by the words of the others. Most names share a word with some other, not all."""
+    from collections import Counter
+
+    names = [(label, n) for label, text in ((True, url_filter.BLOCKED), (False, url_filter.ALLOWED)) for n in url_filter._names(text)]
+    right = {True: [], False: []}
+    for out, (label, name) in enumerate(names):
+        bad, good = (Counter(w for i, (x, n) in enumerate(names) if x == side and i != out for w in n) for side in (True, False))
+        weight_of = url_filter.weights(bad, good)
+        right[label].append((sum(weight_of.get(w, 0.0) for w in name) + url_filter.PRIOR > 0) == label)
+    assert sum(right[True]) >= 0.7 * len(right[True]) and sum(right[False]) >= 0.95 * len(right[False])
+
+
+def test_fit_on_nothing_and_a_very_long_url(spark):
+    empty = spark.createDataFrame([], "url string, blocked boolean")
+    assert url_filter.fit(empty) == url_filter.weights(*url_filter.listed())
+    df = spark.createDataFrame([(1, "http://a.net/" + "cheap-pills/" * 20_000)], "page_id bigint, url string")
+    assert [r["verdict"] for r in url_filter.judged_urls(df).collect()] == ["block"]
