@@ -24,9 +24,9 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates, the document with the smallest identifier stays, in all its rows. Null and blank
-    texts, and rows with a null identifier, are near to nothing and stay."""
-    return near_dedup.drop_near_copies(docs)
+    """Of each group of near duplicates, alike to 80 percent or more, the document with the smallest identifier stays, in all
+    its rows. Null and blank texts, and rows with a null identifier, are near to nothing and stay."""
+    return near_dedup.drop_near_copies(docs, percent=80, n_bands=28, n_rows=4)
 
 
 def secret_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
