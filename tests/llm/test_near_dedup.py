@@ -15,7 +15,7 @@ def shingles(text):
     return {tuple(words[i : i + 5]) for i in range(len(words) - 4)} or ({tuple(words)} if words else set())
 
 
-def brute(rows):
+def brute(rows, percent=85):
     sets = {i: shingles(t) for i, t in rows}
     part = {i: i for i in sets}
 
@@ -34,7 +34,7 @@ def brute(rows):
             for j in by_shingle[x]:
                 common[j] = common.get(j, 0) + 1
         for j, n in common.items():
-            if j < i and 100 * n >= 85 * (len(s) + len(sets[j]) - n):
+            if j < i and 100 * n >= percent * (len(s) + len(sets[j]) - n):
                 a, b = sorted((root(i), root(j)))
                 part[b] = a
     return sorted(((i, len(sets[i]), root(i), root(i) == i) for i in sets), key=repr)

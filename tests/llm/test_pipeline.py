@@ -54,7 +54,7 @@ def test_stages_against_brute_force(spark):
         [
             None,
             lambda r: {i for i, _, _, k, _ in exact(r.items()) if k},
-            lambda r: {i for i, _, _, k in near(r.items()) if k},
+            lambda r: {i for i, _, _, k in near(r.items(), 80) if k},
             lambda r: set(r),
         ],
     ):
