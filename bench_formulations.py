@@ -15,6 +15,7 @@ from pyspark.sql.types import StringType, StructType
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from sensorloom.functions import day_number, day_text  # noqa: E402
 from sensorloom.operators import kpis, profile  # noqa: E402
 from sensorloom.schema import READING  # noqa: E402
 from sensorloom.sources import raw_path, read_bronze, readings_from_events  # noqa: E402
@@ -46,6 +47,39 @@ def one_scan(df: DataFrame) -> None:
     discard(kpis.status_health_of(counts))
 
 
+def four_scans(df: DataFrame) -> None:
+    """All five tables as the jobs make them: the health pair from one scan, the others from one each."""
+    one_scan(df)
+    for figure in (kpis.temp_humidity, kpis.event_counts, kpis.faulty_geo):
+        discard(figure(df))
+
+
+def grouping_sets(df: DataFrame) -> None:
+    """All five tables from one scan: partial figures of three sets of keys, written once, then rolled up."""
+    keys = [day_number("timestamp").alias("day"), "sensor_id", "status", "event_type"]
+    place = [F.col(f"location.{c}").alias(c) for c in ("latitude", "longitude")]
+    rows = df.select(*keys, *place, "temperature", "humidity")
+    sets = [["sensor_id", "status"], ["day", "event_type"], ["day", "latitude", "longitude"]]
+    names = ["day", "sensor_id", "status", "event_type", "latitude", "longitude"]
+    means = [f(c).alias(f"{n}_{c}") for c in ("temperature", "humidity") for n, f in (("avg", F.avg), ("min", F.min), ("max", F.max))]
+    partial = rows.groupingSets([[F.col(c) for c in s] for s in sets], *names).agg(
+        F.grouping_id().alias("keys"),
+        F.count("*").alias("n"),
+        F.count(F.when(F.col("status") == "faulty", F.col("sensor_id"))).alias("faulty"),
+        *means,
+    )
+    written = fresh_directory(df.sparkSession)
+    partial.write.partitionBy("keys").parquet(written)
+    partial = df.sparkSession.read.parquet(written)
+    # Bits of the keys that a set leaves out, in the order of `names`.
+    of = [partial.where(F.col("keys") == sum(1 << 5 - i for i, c in enumerate(names) if c not in s)) for s in sets]
+    discard(kpis.sensor_health_of(of[0]))
+    discard(kpis.status_health_of(of[0]))
+    discard(of[1].select(day_text("day"), "event_type", "n"))
+    discard(of[2].select(day_text("day"), "latitude", "longitude", *(f"{n}_{c}" for c in ("temperature", "humidity") for n in ("avg", "min", "max"))))
+    discard(of[2].groupBy("latitude", "longitude").agg(F.sum("faulty").alias("faulty_count")).where("faulty_count > 0"))
+
+
 def plain_parse(lines: DataFrame) -> None:
     schema = StructType([*READING.fields]).add("_corrupt_record", StringType())
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
@@ -80,10 +114,14 @@ def main() -> None:
     pairs = {
         "describe_numeric": (lambda: plain_describe(df), lambda: discard(profile.describe_numeric(df))),
         "health pair": (lambda: two_scans(df), lambda: one_scan(df)),
+        "five tables": (lambda: grouping_sets(df), lambda: four_scans(df)),
         "parse lines": (lambda: plain_parse(lines), lambda: discard(readings_of(lines))),
     }
     print(f"rows {df.count()}, lines {lines.count()}")
+    only = os.environ.get("BENCH_PAIRS")
     for name, forms in pairs.items():
+        if only and name not in only.split(","):
+            continue
         plain, ours = (_median(form) for form in forms)
         print(f"{name:18s} plain {plain:6.2f}  ours {ours:6.2f}  ratio {plain / ours:5.2f}", flush=True)
     release(spark)
