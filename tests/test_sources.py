@@ -67,6 +67,58 @@ def test_an_array_is_read_by_many_tasks(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_only_elements_over_a_split_are_shuffled(spark, tmp_path):
+    """What reaches the shuffles are numbers per split and two fragments of each, not text, lines or brackets."""
+    from sensorloom.sources.json_arrays import json_elements
+
+    rows = [{"sensor_id": i, "uuid": "x" * 40} for i in range(20_000)]
+    (tmp_path / "a.json").write_text(json.dumps(rows, indent=2))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 100_000)
+    try:
+        splits = spark.read.text(str(tmp_path)).rdd.getNumPartitions()
+        found = json_elements(spark, str(tmp_path))
+        assert {json.loads(r["element"])["sensor_id"] for r in found.collect()} == set(range(20_000))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    records = []
+
+    def walk(node):
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return walk(node.plan())
+        if name == "ShuffleExchangeExec":
+            records.append(node.metrics().apply("shuffleRecordsWritten").value())
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+
+    walk(found._jdf.queryExecution().executedPlan())
+    assert splits > 10 and records and max(records) <= 2 * splits
+
+
+def test_nested_arrays_and_long_elements_over_many_splits(spark, tmp_path):
+    """An element longer than several splits; arrays as elements, which are skipped; a string that holds brackets and an open
+    quote on a line of its own."""
+    from sensorloom.sources import read_json_array
+
+    nested = [[{"sensor_id": -1, "uuid": "n" * 30}] * 9, [[]]]
+    long = {"sensor_id": 2, "extra": [{"x": i, "y": ["}", "[{"]} for i in range(200)], "uuid": "long"}
+    rows = [{"sensor_id": 1, "uuid": "first"}, *nested, long, *nested, {"sensor_id": 3, "uuid": 'a "{" b'}, nested]
+    (tmp_path / "a.json").write_text(json.dumps(rows, indent=1))
+    (tmp_path / "cut.json").write_text('[\n{"sensor_id": 4,\n "uuid": "whole"},\n{"sensor_id": 5, "uuid": "open')
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for split in (100, 1 << 20):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        try:
+            found = read_json_array(spark, str(tmp_path)).select("sensor_id", "uuid").collect()
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        whole = {(r["sensor_id"], r["uuid"]) for r in found if r["uuid"]}
+        assert whole == {(1, "first"), (2, "long"), (3, 'a "{" b'), (4, "whole")} and len(found) == 5
+
+
 def test_json_lines(spark, sample, json_lines):
     df = read_json(spark, json_lines)
     assert df.schema == READING
