@@ -1,28 +1,36 @@
 """Main text of web pages by template deduction.
 
 Pages of one host come from a few templates. Tokens of a page are its elements, named by their paths (tags with their classes
-and ids from the root on), and the text of each block. A token's occurrence vector says on which pages of the host it is,
-and how often; tokens with the same vector form a class: `html`, `nav`, `article` and `footer`, once on every page, are
-one; `li` and the `a` in it another. Classes nest by the paths of their tokens, into the template. A text in the class of
-its own block stands there wherever the block does, so it is part of the template; other blocks are its slots.
+and ids from the root on), and the text of each block, which is all that the block's occurrences hold and stands in each.
+The steps, each over all pages of a host:
+
+1. A token's occurrence vector says on which pages of the host it is, and how often. Tokens with the same vector form a
+   class: `html`, `nav`, `article` and `footer`, once on every page, are one; `li` and the `a` in it another.
+2. A class is ordered if its tokens come in one order, start tags and end tags, and come so again and again, on every page.
+3. Ordered classes nest: each occurrence of a class lies between the same two tokens of another, or none, on every page.
+4. A class that is not ordered or does not nest came about by chance; it breaks up into its blocks, each with the text of its
+   own that it holds. The others, nested, are the template; a text in one of them is template, too. Other blocks' texts are
+   in its slots.
 
 A page's text is that of its slots. Those that hold menus, adverts, notices, forms, comments and so on say so by tag,
 class or id and are left out. Where the host's template or the page names an element as its article, the slots in it are
 the text; where nothing is named, all slots are.
 
-Vectors are not kept: the exclusive or of a hash of each page and count stands for one, and the least and greatest hash of
-a block's texts say whether they are one. So every task folds its pages to a row per host and path, and a host with a
-third of all pages reaches the shuffle as one row per path and task.
+Vectors are not kept: sums of a hash of each page and count stand for one. So every task folds its pages to a row per host
+and token, and the steps after the first to a row per host and class. Pages are parsed once for all steps, to the numbers of
+their tokens in order, and once for the text.
 """
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
+from functools import partial
 
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorloom.llm.frames import stored
@@ -31,6 +39,8 @@ from sensorloom.llm.frames import stored
 MIN_PAGES = 3
 # Rows a task folds before it hands them on.
 FOLDED = 200_000
+# Hosts whose classes a task keeps at hand.
+HOSTS = 1_000
 
 # What HTML says about its elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -89,8 +99,6 @@ _RAW_END = {
 _NAMES = re.compile(r"""(?:^|\s)(class|id)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.IGNORECASE)
 _WORD = re.compile(r"[a-z0-9]+")
 _NUMBER = re.compile(r"\b\d+\b")
-# What the label of a named element begins with; `role` decides.
-_MAY_BE_NAMED = r"^(article|main|div|section|td)(\.|$)"
 _HOST = re.compile(r"^.*?://([^/?#]*)", re.DOTALL)
 
 
@@ -209,21 +217,28 @@ def role(label: str) -> int:
     return 1 if tag in ("div", "section", "td", "body", "center", "blockquote") else 0
 
 
-def outline(events: list[tuple[str, str, str]]) -> dict[str, list]:
+def outline(events: list[tuple[str, str, str]], order: list[str | None] | None = None) -> dict[str, list]:
     """Path to [times, characters of article text below it, what its own block of text is]. The empty path stands for the
-    page. Numbers in a text do not count, as they differ from page to page."""
+    page. Numbers in a text do not count, as they differ from page to page. `order` takes the paths as they open, None for
+    each end."""
+    order = [] if order is None else order
+    order.append("")
+    same: dict[str, str] = {}
     found: dict[str, list] = {"": [1, 0, None]}
     paths, blocks, closed = [""], [""], 0
     texts: dict[str, list[str]] = {}
     for kind, tag, value in events:
         if kind == "open":
             path = f"{paths[-1]}/{value}"
+            path = same.setdefault(path, path)
             paths.append(path)
+            order.append(path)
             blocks.append(path if tag in BLOCK else blocks[-1])
             found.setdefault(path, [0, 0, None])[0] += 1
             closed += role(value) < 0
         elif kind == "close":
             blocks.pop()
+            order.append(None)
             closed -= role(paths.pop().rpartition("/")[2]) < 0
         elif not closed and not value.isspace():
             texts.setdefault(blocks[-1], []).append(value)
@@ -232,6 +247,7 @@ def outline(events: list[tuple[str, str, str]]) -> dict[str, list]:
     for path, parts in texts.items():
         plain = " ".join(_NUMBER.sub("", html.unescape(" ".join(parts))).split())
         found[path][2] = _signed(xxhash.xxh64_intdigest(plain))
+    order.append(None)
     return found
 
 
@@ -239,9 +255,36 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def text_in(source: str, slots: list[str], fixed: Iterable[str] = ()) -> str:
+def element_token(path: str) -> int:
+    """Even; that of an end tag is its complement."""
+    return xxhash.xxh64_intdigest(path) >> 2 << 1
+
+
+def text_token(path: str, text: int) -> int:
+    """Of a block and its text: odd."""
+    return xxhash.xxh64_intdigest(f"{path}\n{text}") >> 2 << 1 | 1
+
+
+def sequence(found: dict[str, list], order: list[str | None]) -> list[int]:
+    """The page's tokens in order, of an outline: start tags, each with the text of its block behind it, and end tags."""
+    start = {}
+    for path, (_, _, text) in found.items():
+        token = element_token(path)
+        start[path] = (token,) if text is None else (token, text_token(path, text))
+    tokens, ends = [], []
+    for path in order:
+        if path is None:
+            tokens.append(ends.pop())
+        else:
+            tokens += start[path]
+            ends.append(~start[path][0])
+    return tokens
+
+
+def text_in(source: str, slots: list[str], fixed: Iterable[str | int] = ()) -> str:
     """The text of the first of the named slots that has any on the page, or of the element that the page itself names best;
-    where neither is there, of the whole page, without the blocks that are `fixed`, if that leaves any."""
+    where neither is there, of the whole page, without the blocks that are `fixed`, if that leaves any. Those are named by
+    their paths, or by the token of their text."""
     events = page_events(source)
     have = outline(events)
     slot = next((s for s in slots if have.get(s, (0, 0))[1]), None)
@@ -249,7 +292,10 @@ def text_in(source: str, slots: list[str], fixed: Iterable[str] = ()) -> str:
         slot = next(iter(best_first([(p, v[1]) for p, v in have.items()])), "")
     if slot:
         return _text(events, slot, frozenset())
-    return (fixed and _text(events, "", frozenset(fixed))) or _text(events, "", frozenset())
+    fixed = frozenset(fixed)
+    is_fixed = lambda path, text: path in fixed or (text is not None and text_token(path, text) in fixed)
+    blocks = frozenset(path for path, (_, _, text) in have.items() if is_fixed(path, text)) if fixed else fixed
+    return (blocks and _text(events, "", blocks)) or _text(events, "", frozenset())
 
 
 def _text(events: list[tuple[str, str, str]], slot: str, fixed: frozenset[str]) -> str:
@@ -301,13 +347,6 @@ def _named(path: str) -> bool:
     return bool(labels) and role(labels[-1]) == 2 and all(role(label) >= 0 for label in labels)
 
 
-def template(paths: pd.DataFrame) -> tuple[list[str], list[str]]:
-    """Named slots of one host, best first, and its fixed blocks, from rows of `path`, `pages` (with the path), `chars`, `fixed`
-    (whether the block's text is in the block's own class)."""
-    slots = best_first([(p, n) for p, n in zip(paths["path"], paths["chars"])])
-    return slots, sorted(paths.loc[paths["fixed"], "path"])
-
-
 def best_first(paths: list[tuple[str, int]]) -> list[str]:
     """Of paths and the text in them, those named as the article: `article` and `main` before other names, then by text; of
     equal ones the outer."""
@@ -327,60 +366,178 @@ def main_text(pages: DataFrame) -> DataFrame:
     pages = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"(?s)^.*?://([^/?#]*)", 1))
     pages = pages.withColumn("host", host)
-    folded = pages.select("host", "html").mapInArrow(
-        _folded, "host string, path string, pages bigint, vector bigint, chars bigint, low bigint, high bigint, seen bigint"
-    )
-    paths = folded.groupBy("host", "path").agg(
-        *(F.sum(c).alias(c) for c in ("pages", "chars", "seen")),
-        F.bit_xor("vector").alias("vector"),
-        F.min("low").alias("low"),
-        F.max("high").alias("high"),
-    )
-    # One text, on every page that has the block: the text's vector is the block's. Pages that are copies of one page have
-    # no template; an even number of equal pages leaves no trace in a vector.
-    fixed = (F.col("low") == F.col("high")) & (F.col("seen") == F.col("pages")) & (F.col("vector") != 0)
-    paths = paths.where(F.col("pages") >= MIN_PAGES).withColumn("fixed", F.coalesce(fixed, F.lit(False)))
-    # A group holds what is named or fixed only: a few paths for each layout.
-    last = F.element_at(F.split("path", "/"), -1)
-    useful = paths.where(F.col("fixed") | last.rlike(_MAY_BE_NAMED)).select("host", "path", "pages", "chars", "fixed")
-    templates = stored(useful.groupBy("host").applyInPandas(_templates, "host string, slots array<string>, fixed array<string>"))
+    parsed = stored(pages.select("host", "html").mapInArrow(_parsed, _PARSED))
+    templates = stored(_named_slots(parsed).join(fixed_texts(parsed), "host", "full"))
     placed = pages.join(templates, "host", "left").select("page_id", "url", "html", "slots", "fixed")
     kind = pages.schema["page_id"].dataType.simpleString()
     return placed.mapInArrow(_extracted, f"page_id {kind}, url string, text string, n_chars bigint")
 
 
+_PARSED = "host string, page bigint, tokens array<bigint>, named array<struct<path: string, chars: bigint>>"
+
+
+def _named_slots(parsed: DataFrame) -> DataFrame:
+    """Per host, the paths that say they are the article, best first."""
+    named = parsed.select("host", F.inline("named")).groupBy("host", "path")
+    named = named.agg(F.count("*").alias("pages"), F.sum("chars").alias("chars")).where(F.col("pages") >= MIN_PAGES)
+    # A group holds a few paths for each layout.
+    return named.groupBy("host").applyInPandas(_ranked, "host string, slots array<string>")
+
+
+def fixed_texts(parsed: DataFrame) -> DataFrame:
+    """Per host, the tokens of the texts that are part of its template (`fixed`)."""
+    classes = equivalence_classes(parsed)
+    classes = _unbroken(parsed, classes, nested=False)
+    classes = _unbroken(parsed, classes, nested=True)
+    element = F.col("token") == F.col("block")
+    texts = F.collect_list(F.when(~element, F.col("token"))).alias("texts")
+    # A text that broke off its class alone is data.
+    placed = classes.groupBy("host", "class").agg(F.max(element).alias("placed"), texts).where("placed and size(texts) > 0")
+    return placed.groupBy("host").agg(F.flatten(F.collect_list("texts")).alias("fixed"))
+
+
+def equivalence_classes(parsed: DataFrame) -> DataFrame:
+    """The tokens of each host that are on enough pages: `host`, `class`, `token`, `block` (the token of the block that a text is
+    of; that of an element is its own)."""
+    tokens = parsed.select("host", "page", "tokens").mapInArrow(
+        _folded, "host string, token bigint, block bigint, pages bigint, vector bigint, vector2 bigint, low bigint, high bigint"
+    )
+    tokens = tokens.groupBy("host", "token", "block").agg(
+        *(F.sum(c).alias(c) for c in ("pages", "vector", "vector2")), F.min("low").alias("low"), F.max("high").alias("high")
+    )
+    # Pages that are copies of one page have no template.
+    tokens = tokens.where((F.col("pages") >= MIN_PAGES) & (F.col("low") < F.col("high")))
+    classes = tokens.select("host", F.xxhash64("vector", "vector2").alias("class"), "token", "block")
+    # A class of texts alone has no place in a page.
+    element = F.max(F.col("token") == F.col("block")).over(Window.partitionBy("host", "class"))
+    return classes.withColumn("placed", element).where("placed").drop("placed")
+
+
+def _unbroken(parsed: DataFrame, classes: DataFrame, nested: bool) -> DataFrame:
+    """The classes, those broken up that are not ordered, or do not nest, on some page."""
+    classes = stored(classes)
+    # A few tokens for each layout.
+    members = classes.groupBy("host").agg(F.collect_list(F.struct("token", "class")).alias("members"))
+    found = parsed.select("host", "tokens").join(members, "host")
+    found = found.mapInArrow(partial(_places, nested), "host string, class bigint, low array<bigint>, high array<bigint>")
+    found = found.groupBy("host", "class").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    broken = found.where("low != high or size(low) = 0").select("host", "class", F.lit(True).alias("broken"))
+    part = F.when(F.col("broken"), F.xxhash64("class", "block")).otherwise(F.col("class")).alias("class")
+    return classes.join(broken, ["host", "class"], "left").select("host", part, "token", "block")
+
+
+def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kinds = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.struct([("path", pa.string()), ("chars", pa.int64())])))
+    for batch in batches:
+        rows = []
+        for source in batch.column("html"):
+            source, order = source.as_py(), []
+            found = outline(page_events(source), order)
+            named = [{"path": path, "chars": chars} for path, (_, chars, _) in found.items() if _named(path)]
+            rows.append((_signed(xxhash.xxh64_intdigest(source.encode())), sequence(found, order), named))
+        columns = [pa.array(column, kind) for column, kind in zip(zip(*rows) if rows else [[]] * 3, kinds)]
+        yield pa.RecordBatch.from_arrays([batch.column("host"), *columns], ["host", "page", "tokens", "named"])
+
+
 def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sums: dict[tuple[str, str], list] = {}
-    names = ["host", "path", "pages", "vector", "chars", "low", "high", "seen"]
+    """Per token: pages, the sums that stand for its vector, the least and greatest page."""
+    sums: dict[tuple[str, int, int], list[int]] = {}
+    names = ["host", "token", "block", "pages", "vector", "vector2", "low", "high"]
 
     def out():
         columns = list(zip(*((*key, *value) for key, value in sums.items()))) or [[]] * len(names)
-        kinds = (pa.string(), pa.string(), *[pa.int64()] * 6)
-        arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
+        arrays = [pa.array(c, k) for c, k in zip(columns, (pa.string(), *[pa.int64()] * 7))]
         sums.clear()
         return pa.RecordBatch.from_arrays(arrays, names)
 
     for batch in batches:
-        for host, source in zip(batch.column("host").to_pylist(), batch.column("html")):
-            source = source.as_py()
-            page = xxhash.xxh64_intdigest(source.encode())
-            for path, (times, chars, text) in outline(page_events(source)).items():
-                entry = sums.setdefault((host, path), [0, 0, 0, None, None, 0])
+        for host, page, tokens in zip(*(batch.column(c) for c in ("host", "page", "tokens"))):
+            host, page, tokens = host.as_py(), page.as_py(), tokens.values.to_numpy().tolist()
+            hashes: dict[int, tuple[int, int]] = {}
+            block_of = {token: tokens[i - 1] if token & 1 else token for i, token in enumerate(tokens) if token >= 0}
+            for token, times in Counter(token for token in tokens if token >= 0).items():
+                if times not in hashes:
+                    whole = xxhash.xxh64_intdigest(f"{page} {times}")
+                    hashes[times] = whole >> 32, whole & 0xFFFFFFFF  # whose sums stay in range
+                entry = sums.setdefault((host, token, block_of[token]), [0, 0, 0, page, page])
                 entry[0] += 1
-                entry[1] ^= _signed(xxhash.xxh64_intdigest(f"{page} {times}".encode()))
-                entry[2] += chars
-                if text is not None:
-                    entry[3] = text if entry[3] is None else min(entry[3], text)
-                    entry[4] = text if entry[4] is None else max(entry[4], text)
-                    entry[5] += 1
+                entry[1] += hashes[times][0]
+                entry[2] += hashes[times][1]
+                entry[3] = min(entry[3], page)
+                entry[4] = max(entry[4], page)
             if len(sums) > FOLDED:
                 yield out()
     yield out()
 
 
-def _templates(paths: pd.DataFrame) -> pd.DataFrame:
-    slots, fixed = template(paths)
-    return pd.DataFrame({"host": [paths["host"].iloc[0]], "slots": [slots], "fixed": [fixed]})
+def places(tokens: list[int], class_of: dict[int, int], nested: bool) -> Iterator[tuple[int, list[int]]]:
+    """Per class on the page: its tokens in order, or nothing if they come in no order; if `nested`, for each occurrence, behind
+    the order, the class it lies in and how many tokens of that come before, or nothing if it overlaps another."""
+    own: dict[int, list[int]] = {}
+    for token in tokens:
+        if (found := class_of.get(max(token, ~token))) is not None:
+            own.setdefault(found, []).append(token)
+    orders = {}
+    for found, some in own.items():
+        order = some[: len(set(some))]
+        if order * (len(some) // len(order)) == some:
+            orders[found] = order
+        else:
+            yield found, []
+    if not nested:
+        yield from orders.items()
+        return
+    open_in: list[list[int]] = []  # classes, with the number of their tokens so far
+    crossed = set()
+    for token in tokens:
+        found = class_of.get(max(token, ~token))
+        if (order := orders.get(found)) is None:
+            continue
+        if token == order[0]:
+            yield found, [*order, *(open_in[-1] if open_in else (0, 0))]
+            open_in.append([found, 1])
+        else:
+            if all(found != other for other, _ in open_in):
+                continue  # overlapped by one before
+            while open_in[-1][0] != found:
+                crossed |= {found, open_in.pop()[0]}
+            open_in[-1][1] += 1
+        if open_in[-1][1] == len(order):
+            open_in.pop()
+    for found in crossed:
+        yield found, []
+
+
+def _places(nested: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per class, the least and greatest of its places."""
+    folded: dict[tuple[str, int], list[list[int]]] = {}
+    classes: dict[str, dict[int, int]] = {}
+    kinds = (pa.string(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+
+    def out():
+        columns = list(zip(*((*key, *value) for key, value in folded.items()))) or [[]] * 4
+        folded.clear()
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["host", "class", "low", "high"])
+
+    for batch in batches:
+        hosts, members = batch.column("host").to_pylist(), batch.column("members")
+        for i, tokens in enumerate(batch.column("tokens")):
+            if (class_of := classes.get(hosts[i])) is None:
+                if len(classes) >= HOSTS:
+                    classes.clear()
+                token, found = members[i].values.flatten()
+                class_of = classes[hosts[i]] = dict(zip(token.to_pylist(), found.to_pylist()))
+            for found, place in places(tokens.values.to_numpy().tolist(), class_of, nested):
+                entry = folded.setdefault((hosts[i], found), [place, place])
+                entry[:] = min(entry[0], place), max(entry[1], place)
+            if len(folded) > FOLDED:
+                yield out()
+    yield out()
+
+
+def _ranked(paths: pd.DataFrame) -> pd.DataFrame:
+    slots = best_first([(p, n) for p, n in zip(paths["path"], paths["chars"])])
+    return pd.DataFrame({"host": [paths["host"].iloc[0]], "slots": [slots]})
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

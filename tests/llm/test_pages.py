@@ -152,6 +152,117 @@ def test_texts_in_the_class_of_their_block_are_template(spark):
     assert "Hello" not in got[100] and got[100]
 
 
+def _hand_fixed(sources):
+    """Tokens of the texts in a host's template, by vectors kept whole, and orders and places compared page by page."""
+    from collections import defaultdict
+
+    pages = []
+    for source in sources:
+        order = []
+        pages.append(html_extract.sequence(html_extract.outline(html_extract.page_events(source), order), order))
+    tokens = {t for page in pages for t in page if t >= 0}
+    block = {t: page[i - 1] if t & 1 else t for page in pages for i, t in enumerate(page) if t >= 0}
+    classes = defaultdict(set)
+    for t in tokens:
+        on = [source for source, page in zip(sources, pages) if t in page]
+        if len(on) >= 3 and len(set(on)) > 1:
+            classes[tuple(page.count(t) for page in pages)].add(t)
+    classes = [c for c in classes.values() if any(not t & 1 for t in c)]
+
+    def occurrences(c, page):
+        """Lists of (place, token), or None without an order."""
+        own = [(i, t) for i, t in enumerate(page) if max(t, ~t) in c]
+        n = len({t for _, t in own})
+        some = [own[k : k + n] for k in range(0, len(own), n or 1)]
+        return some if len({tuple(t for _, t in o) for o in some}) <= 1 else None
+
+    def broken(classes, bad):
+        parts = [[{t for t in c if block[t] == b} for b in {block[t] for t in c}] if c in bad else [c] for c in classes]
+        return [c for some in parts for c in some]
+
+    def is_ordered(c):
+        found = [occurrences(c, page) for page in pages]
+        return None not in found and len({tuple(t for _, t in o) for some in found for o in some}) == 1
+
+    def overlap(a, b):
+        between = lambda x, y: any(y[0] < i < y[-1] for i in x)
+        return between(a, b) and between(b, a)
+
+    classes = broken(classes, [c for c in classes if not is_ordered(c)])
+    bad = []
+    for c in classes:
+        around = set()
+        for page in pages:
+            others = [(d, [i for i, _ in p]) for d in classes if d is not c for p in occurrences(d, page)]
+            for o in occurrences(c, page):
+                own = [i for i, _ in o]
+                if any(overlap(own, at) for _, at in others):
+                    around |= {"overlap", "any"}
+                outer = [(at[0], frozenset(d), sum(i < own[0] for i in at)) for d, at in others if at[0] < own[0] and own[-1] < at[-1]]
+                around.add(max(outer, key=lambda x: x[0])[1:] if outer else None)
+        if len(around) > 1:
+            bad.append(c)
+    return {t for c in broken(classes, bad) for t in c if t & 1 and any(not x & 1 for x in c)}
+
+
+def _fixed(spark, hosts):
+    rows = [(i, f"http://{host}/", source) for host, sources in hosts.items() for i, source in enumerate(sources)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    parsed = pages.selectExpr("substring_index(substring(url, 8), '/', 1) as host", "html").mapInArrow(html_extract._parsed, html_extract._PARSED)
+    return {row["host"]: set(row["fixed"]) for row in html_extract.fixed_texts(parsed).collect()}
+
+
+def test_templates_against_whole_vectors(spark):
+    """Random pages of few parts: in changing order, repeated, left out, empty, within each other."""
+    rng = random.Random(11)
+    parts = ["<div class=a>One</div>", "<div class=b><i class=k>Two</i></div>", "<div class=b></div>", "<div class=c>{n}x</div>"]
+    parts += ["<div class=d><p>Three</p><p class=e>{w}</p></div>", "<ul><li>Four</li><li>Five</li></ul>", "<div class=b>Six</div>", "<hr class=z>"]
+    hosts = {}
+    for host in range(40):
+        some = rng.sample(parts, rng.randrange(2, 7))
+        layouts = [rng.choices(some, k=rng.randrange(1, 6)) for _ in range(rng.randrange(1, 4))]
+        say = lambda: " ".join(rng.choice("uvw") for _ in range(2))
+        sources = ["".join(rng.choice(layouts)).replace("{w}", say()) for _ in range(rng.randrange(3, 9))]
+        hosts[f"h{host}"] = [f"<body>{s}</body>" for s in sources + sources[:1] * (host % 3)]
+    got = _fixed(spark, hosts)
+    wanted = {host: _hand_fixed(sources) for host, sources in hosts.items()}
+    assert sum(map(bool, wanted.values())) > 10
+    assert {host: got.get(host, set()) for host in hosts} == wanted
+
+
+def test_a_text_is_template_by_its_class(spark):
+    """Not by its block alone: the block says other things on other pages. What only chance put in one class does not nest."""
+    rng = random.Random(4)
+    say = lambda: " ".join(rng.choice(["alpha", "beta", "gamma", "delta"]) for _ in range(12))
+    badge = "<body><div class=q1><b class=hot>Best seller</b></div><div class=q2><p>{a}</p></div></body>"
+    plain = "<body><div class=q1></div><div class=q2><p>{a}</p></div></body>"
+    rows = [(i, "http://shop/", (badge if i % 2 else plain).format(a=say())) for i in range(12)]
+    # An empty element and the heading of another block happen to be on the same pages.
+    chance = "<body>{x}<div class=q1>{h}</div><div class=q2><p>{a}</p></div></body>"
+    rows += [
+        (100 + i, "http://chance/", chance.format(x="<div class=q0></div>" if i < 4 else "", h="Results" if i < 4 else say(), a=say()))
+        for i in range(12)
+    ]
+    # Each page twice: an exclusive or of their hashes is nothing.
+    unnamed = "<body><div class=q1>Our slogan</div><div class=q2><p>{a}</p></div></body>"
+    rows += [(200 + i, "http://twice/", unnamed.format(a=a)) for i, a in enumerate([say() for _ in range(6)] * 2)]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {row["page_id"]: row["text"] for row in html_extract.main_text(df).collect()}
+    assert not any("Best" in got[i] or not got[i] for i in range(12))
+    assert all(got[100 + i].startswith("Results\n") for i in range(4))
+    assert not any("slogan" in got[200 + i] or not got[200 + i] for i in range(12))
+
+
+def test_places_of_classes():
+    of = {2: 1, 4: 1, 6: 2, 8: 2}
+    places = lambda tokens, nested=True: sorted(html_extract.places(tokens, of, nested))
+    assert places([2, ~2, 4, ~4] * 2, False) == [(1, [2, ~2, 4, ~4])]
+    assert places([2, ~2, 2, ~2, 4, ~4, 4, ~4], False) == [(1, [])]
+    assert places([2, 6, ~6, 8, ~8, 4, ~4, ~2]) == [(1, [2, 4, ~4, ~2, 0, 0]), (2, [6, ~6, 8, ~8, 1, 1])]
+    # Overlapping each other, and more of both to come.
+    assert [found for found, place in places([2, ~2, 6, ~6, 4, ~4, 8, ~8] * 2) if not place] == [1, 2]
+
+
 @pytest.mark.parametrize(
     "part",
     [
